@@ -56,8 +56,8 @@ def rfm_dashboard(c):
     "rfm_segment_summary",
     sql(
         "rfmdash",
-        "SELECT rfm_segment, count(*) AS customer_count, round(avg(monetary), 4) AS avg_monetary, "
-        "round(avg(frequency), 6) AS avg_frequency, round(avg(recency_days), 6) AS avg_recency FROM rfmdash GROUP BY ALL",
+        "SELECT rfm_segment, count(*) AS customer_count, round(avg(monetary) + 1e-9, 4) AS avg_monetary, "
+        "round(avg(frequency) + 1e-9, 6) AS avg_frequency, round(avg(recency_days) + 1e-9, 6) AS avg_recency FROM rfmdash GROUP BY ALL",
     ),
 )
 def rfm_segment_summary(c):
@@ -97,7 +97,7 @@ def inactivity_buckets(c):
     sql(
         "cutoff sold users",
         "SELECT count(*) AS registered, (SELECT count(*) FROM act) AS active, "
-        "round((SELECT count(*) FROM act) / greatest(count(*), 1) * 100.0, 6) AS active_pct FROM users WHERE user_type = 'BUYER'",
+        "round((SELECT count(*) FROM act) / greatest(count(*), 1) * 100.0 + 1e-9, 6) AS active_pct FROM users WHERE user_type = 'BUYER'",
         "act AS (SELECT DISTINCT buyer_id FROM sold JOIN users ON user_id = buyer_id "
         "WHERE user_type = 'BUYER' AND CAST(sold.created_at AS DATE) >= (SELECT d FROM cutoff) - 365)",
     ),
@@ -115,9 +115,9 @@ def distinct_buyers(c):
 
 
 _CHURN = (
-    "user_id, total_orders, round(total_revenue, 2) AS total_revenue, round(avg_order_value, 4) AS avg_order_value, "
+    "user_id, total_orders, round(total_revenue, 2) AS total_revenue, round(avg_order_value + 1e-9, 4) AS avg_order_value, "
     "first_order_date, last_order_date, days_since_last_order, orders_last_30d, orders_last_90d, "
-    "round(avg_items_per_order, 6) AS avg_items_per_order, customer_tenure_days, round(recency_ratio, 6) AS recency_ratio, churn_label"
+    "round(avg_items_per_order + 1e-9, 6) AS avg_items_per_order, customer_tenure_days, round(recency_ratio + 1e-9, 6) AS recency_ratio, churn_label"
 )
 
 
@@ -145,9 +145,9 @@ def churn_features_cutoff(c):
     sql(
         "heads users",
         """SELECT user_id, DATE '2000-01-01' AS label_date, date_diff('day', l, DATE '2000-01-01') AS recency_days, frequency_30d, frequency_90d,
-        round(monetary_30d, 2) AS monetary_30d, round(monetary_90d, 2) AS monetary_90d, round(avg_order_value, 4) AS avg_order_value,
-        date_diff('day', CAST(u.created_at AS DATE), DATE '2000-01-01') AS days_since_account_creation, round(return_rate, 6) AS return_rate,
-        round(CASE WHEN date_diff('day', f, DATE '2000-01-01') > 0 THEN date_diff('day', l, DATE '2000-01-01') / date_diff('day', f, DATE '2000-01-01') ELSE 0 END, 6) AS recency_ratio,
+        round(monetary_30d, 2) AS monetary_30d, round(monetary_90d, 2) AS monetary_90d, round(avg_order_value + 1e-9, 4) AS avg_order_value,
+        date_diff('day', CAST(u.created_at AS DATE), DATE '2000-01-01') AS days_since_account_creation, round(return_rate + 1e-9, 6) AS return_rate,
+        round(CASE WHEN date_diff('day', f, DATE '2000-01-01') > 0 THEN date_diff('day', l, DATE '2000-01-01') / date_diff('day', f, DATE '2000-01-01') ELSE 0 END + 1e-9, 6) AS recency_ratio,
         CASE WHEN ahead = 0 THEN 1 ELSE 0 END AS churn_label
         FROM (SELECT user_id, max(d) FILTER (past) AS l, min(d) FILTER (past) AS f,
               count(*) FILTER (past AND d >= DATE '2000-01-01' - 30) AS frequency_30d, count(*) FILTER (past AND d >= DATE '2000-01-01' - 90) AS frequency_90d,

@@ -27,8 +27,8 @@ def payments_joined(c):
     "payment_fail_rate",
     sql(
         "pays",
-        "SELECT buyer_id, count(*) AS payments_total, round(sum(CASE WHEN status = 'FAILED' THEN 1.0 ELSE 0.0 END) / count(*), 6) AS payment_fail_rate, "
-        "round(avg(amount), 4) AS avg_payment_amount FROM pays GROUP BY buyer_id",
+        "SELECT buyer_id, count(*) AS payments_total, round(sum(CASE WHEN status = 'FAILED' THEN 1.0 ELSE 0.0 END) / count(*) + 1e-9, 6) AS payment_fail_rate, "
+        "round(avg(amount) + 1e-9, 4) AS avg_payment_amount FROM pays GROUP BY buyer_id",
     ),
 )
 def payment_fail_rate(c):
@@ -40,7 +40,7 @@ def payment_fail_rate(c):
     sql(
         "pays",
         "SELECT CAST(created_at AS DATE) AS pay_date, count(*) AS attempts, count(*) FILTER (status = 'CONFIRMED') AS confirmed, "
-        "count(*) FILTER (status = 'FAILED') AS failed, round(count(*) FILTER (status = 'CONFIRMED') / count(*) * 100, 6) AS confirmed_pct "
+        "count(*) FILTER (status = 'FAILED') AS failed, round(count(*) FILTER (status = 'CONFIRMED') / count(*) * 100 + 1e-9, 6) AS confirmed_pct "
         "FROM pays GROUP BY ALL",
     ),
 )
@@ -78,8 +78,8 @@ def funnel_counts(c):
 
 _UF = {"monetary": 2, "avg_order_value": 4, "payment_fail_rate": 6, "avg_payment_amount": 4, "recency_days": 6, "tenure_days": 6, "frequency_per_week": 6}
 _UF_SQL = (
-    "round(monetary, 2) AS monetary, round(avg_order_value, 4) AS avg_order_value, round(payment_fail_rate, 6) AS payment_fail_rate, "
-    "round(recency_days, 6) AS recency_days, round(tenure_days, 6) AS tenure_days, round(frequency_per_week, 6) AS frequency_per_week, "
+    "round(monetary, 2) AS monetary, round(avg_order_value + 1e-9, 4) AS avg_order_value, round(payment_fail_rate + 1e-9, 6) AS payment_fail_rate, "
+    "round(recency_days + 1e-9, 6) AS recency_days, round(tenure_days + 1e-9, 6) AS tenure_days, round(frequency_per_week + 1e-9, 6) AS frequency_per_week, "
     "payments_total, distinct_products"
 )
 
@@ -92,7 +92,7 @@ def user_feature_table(c):
     "user_features",
     sql(
         "ufeat",
-        f"SELECT buyer_id, orders_total, last_order_at, first_order_at, {_UF_SQL}, round(avg_payment_amount, 4) AS avg_payment_amount, "
+        f"SELECT buyer_id, orders_total, last_order_at, first_order_at, {_UF_SQL}, round(avg_payment_amount + 1e-9, 4) AS avg_payment_amount, "
         "name, email, user_type, user_created_at FROM ufeat",
     ),
 )
@@ -138,7 +138,7 @@ def product_features_30d(c):
 
 _PAY = (
     "payment_id, buyer_id, amount, method, status, created_at, hour, dow, buyer_pay_count, "
-    "round(buyer_avg_amount, 4) AS buyer_avg_amount, round(buyer_fail_rate_hist, 6) AS buyer_fail_rate_hist, failed_label"
+    "round(buyer_avg_amount + 1e-9, 4) AS buyer_avg_amount, round(buyer_fail_rate_hist + 1e-9, 6) AS buyer_fail_rate_hist, failed_label"
 )
 
 
@@ -176,8 +176,8 @@ def user_item_matrix(c):
     sql(
         "matrix",
         "SELECT count(*) AS interactions, count(DISTINCT buyer_id) AS users, count(DISTINCT product_id) AS items, "
-        "round(count(*) / (count(DISTINCT buyer_id) * count(DISTINCT product_id)), 8) AS density, "
-        "round(count(*) / count(DISTINCT buyer_id), 6) AS interactions_per_user FROM matrix",
+        "round(count(*) / (count(DISTINCT buyer_id) * count(DISTINCT product_id)) + 1e-9, 8) AS density, "
+        "round(count(*) / count(DISTINCT buyer_id) + 1e-9, 6) AS interactions_per_user FROM matrix",
     ),
 )
 def matrix_stats(c):
@@ -201,9 +201,9 @@ def event_interactions(c):
     "ml_user_features",
     sql(
         "churn rfmmart",
-        "SELECT user_id, total_orders, round(total_revenue, 2) AS total_revenue, round(avg_order_value, 4) AS avg_order_value, "
-        "days_since_last_order, orders_last_30d, orders_last_90d, round(avg_items_per_order, 6) AS avg_items_per_order, "
-        "customer_tenure_days, round(recency_ratio, 6) AS recency_ratio, r_score, f_score, m_score, rfm_total, rfm_segment "
+        "SELECT user_id, total_orders, round(total_revenue, 2) AS total_revenue, round(avg_order_value + 1e-9, 4) AS avg_order_value, "
+        "days_since_last_order, orders_last_30d, orders_last_90d, round(avg_items_per_order + 1e-9, 6) AS avg_items_per_order, "
+        "customer_tenure_days, round(recency_ratio + 1e-9, 6) AS recency_ratio, r_score, f_score, m_score, rfm_total, rfm_segment "
         "FROM churn LEFT JOIN (SELECT user_id, r_score, f_score, m_score, rfm_total, rfm_segment FROM rfmmart) USING (user_id)",
     ),
 )
@@ -220,7 +220,7 @@ def ml_user_features(c):
         "funnel products",
         "SELECT product_id, price, stock, brand, category, CAST(coalesce(i, 0) AS BIGINT) AS total_impressions_30d, "
         "CAST(coalesce(o, 0) AS BIGINT) AS total_orders_30d, round(coalesce(r, 0), 2) AS total_revenue_30d, "
-        "round(coalesce(v, 0), 6) AS avg_conversion_rate_30d FROM products LEFT JOIN "
+        "round(coalesce(v, 0) + 1e-9, 6) AS avg_conversion_rate_30d FROM products LEFT JOIN "
         "(SELECT product_id, sum(impressions) AS i, sum(orders) AS o, sum(revenue) AS r, avg(conversion_rate) AS v FROM funnel "
         "WHERE event_date >= DATE '2024-01-31' - 20 GROUP BY ALL) USING (product_id)",
     ),
@@ -271,7 +271,7 @@ def fraud_velocity(c):
         "heads users",
         """SELECT order_id, user_id, total_amount, items_count, hour(h.created_at) AS hour_of_day,
         date_diff('day', CAST(u.created_at AS DATE), CAST(h.created_at AS DATE)) AS days_since_account_creation, orders_in_last_hour,
-        round(CASE WHEN n > 1 AND v > 1e-6 THEN (total_amount - m) / sqrt(v) ELSE 0 END, 4) AS avg_order_value_deviation
+        round(CASE WHEN n > 1 AND v > 1e-6 THEN (total_amount - m) / sqrt(v) ELSE 0 END + 1e-9, 4) AS avg_order_value_deviation
         FROM (SELECT *, count(*) OVER (PARTITION BY user_id ORDER BY created_at RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS orders_in_last_hour,
                      count(*) OVER w AS n, avg(total_amount) OVER w AS m, var_pop(total_amount) OVER w AS v
               FROM heads WINDOW w AS (PARTITION BY user_id ORDER BY created_at, order_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) h
@@ -406,8 +406,8 @@ def demand_last_window(c):
     "demand_scaled",
     sql(
         "demand",
-        "SELECT ds, round((orders - avg(orders) OVER ()) / stddev_pop(orders) OVER (), 6) AS orders_z, "
-        "round((gmv - avg(gmv) OVER ()) / stddev_pop(gmv) OVER (), 6) AS gmv_z FROM demand",
+        "SELECT ds, round((orders - avg(orders) OVER ()) / stddev_pop(orders) OVER () + 1e-9, 6) AS orders_z, "
+        "round((gmv - avg(gmv) OVER ()) / stddev_pop(gmv) OVER () + 1e-9, 6) AS gmv_z FROM demand",
     ),
 )
 def demand_scaled(c):

@@ -38,7 +38,7 @@ def seller_metrics_daily(c):
 
 _GMV = (
     "SELECT CAST(created_at AS DATE) AS order_date, round(sum(total_amount), 2) AS gmv, count(*) AS orders, "
-    "round(avg(total_amount), 6) AS aov FROM live {} GROUP BY ALL"
+    "round(avg(total_amount) + 1e-9, 6) AS aov FROM live {} GROUP BY ALL"
 )
 
 
@@ -57,9 +57,9 @@ def gmv_last_30d(c):
     "gmv_half_over_half",
     sql(
         "live",
-        "SELECT round(sum(gmv), 2) AS gmv_total, CAST(sum(orders) AS BIGINT) AS orders_total, round(avg(aov), 6) AS aov_avg, "
+        "SELECT round(sum(gmv), 2) AS gmv_total, CAST(sum(orders) AS BIGINT) AS orders_total, round(avg(aov) + 1e-9, 6) AS aov_avg, "
         "round(sum(gmv) FILTER (pos <= h), 2) AS prev_gmv, round(sum(gmv) FILTER (pos > h), 2) AS curr_gmv, "
-        "round((sum(gmv) FILTER (pos > h) - sum(gmv) FILTER (pos <= h)) / greatest(sum(gmv) FILTER (pos <= h), 1.0) * 100, 6) AS delta_pct "
+        "round((sum(gmv) FILTER (pos > h) - sum(gmv) FILTER (pos <= h)) / greatest(sum(gmv) FILTER (pos <= h), 1.0) * 100 + 1e-9, 6) AS delta_pct "
         "FROM (SELECT *, row_number() OVER (ORDER BY order_date) AS pos, greatest(count(*) OVER () // 2, 1) AS h FROM daily)",
         "daily AS (SELECT CAST(created_at AS DATE) AS order_date, sum(total_amount) AS gmv, count(*) AS orders, "
         "avg(total_amount) AS aov FROM live GROUP BY ALL)",
@@ -171,9 +171,9 @@ def sales_heatmap(c):
     "business_metrics",
     sql(
         "ev heads",
-        "SELECT round(sum(total_amount), 2) AS gmv, count(*) AS orders, round(sum(total_amount) / count(*), 6) AS aov, "
-        "round(sum(total_amount) / count(DISTINCT user_id), 6) AS avg_ltv, "
-        "(SELECT round(avg(CASE WHEN converted THEN 1.0 ELSE 0.0 END), 6) FROM sess) AS conversion_rate "
+        "SELECT round(sum(total_amount), 2) AS gmv, count(*) AS orders, round(sum(total_amount) / count(*) + 1e-9, 6) AS aov, "
+        "round(sum(total_amount) / count(DISTINCT user_id) + 1e-9, 6) AS avg_ltv, "
+        "(SELECT round(avg(CASE WHEN converted THEN 1.0 ELSE 0.0 END) + 1e-9, 6) FROM sess) AS conversion_rate "
         "FROM heads WHERE status NOT IN ('pending', 'refunded')",
         sessions_sql(720),
     ),
@@ -186,7 +186,7 @@ def business_metrics(c):
 
 @query(
     "product_funnel_daily",
-    sql("funnel", "SELECT event_date, product_id, impressions, unique_users, orders, round(revenue, 2) AS revenue, round(conversion_rate, 6) AS conversion_rate FROM funnel"),
+    sql("funnel", "SELECT event_date, product_id, impressions, unique_users, orders, round(revenue, 2) AS revenue, round(conversion_rate + 1e-9, 6) AS conversion_rate FROM funnel"),
 )
 def product_funnel_daily(c):
     events = c.events()
@@ -219,7 +219,7 @@ _JANUARY = (
     sql(
         "ev done",
         "SELECT event_date, product_id, impressions, unique_users, coalesce(orders, 0) AS orders, "
-        "round(coalesce(revenue, 0), 2) AS revenue, round(coalesce(orders, 0) * 1.0 / impressions, 6) AS conversion_rate "
+        "round(coalesce(revenue, 0), 2) AS revenue, round(coalesce(orders, 0) * 1.0 / impressions + 1e-9, 6) AS conversion_rate "
         "FROM (SELECT event_date, product_id, count(*) AS impressions, count(DISTINCT user_id) AS unique_users FROM ev "
         "WHERE event_type = 'clicks' AND product_id IS NOT NULL GROUP BY ALL) LEFT JOIN "
         "(SELECT jan.d AS event_date, p.product_id, count(DISTINCT order_id) AS orders, sum(total_amount) AS revenue "
