@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewater.functions import row_hash
 from tidewater.operators.latest import latest_per_key, require_columns
 from tidewater.operators.timecells import DAY, with_neighbour
+from tidewater.session import pin
 
 SCD2_COLUMNS = ("valid_from", "valid_to", "is_current", "row_hash")
 
@@ -45,23 +46,26 @@ def merge_scd2(
     """
     require_columns(updates, [key, effective_ts, *tracked], "merge_scd2")
     payload = updates.columns
-    incoming = add_row_hash(updates, tracked).withColumn("valid_from", F.col(effective_ts)).where(F.col(key).isNotNull())
-    incoming = latest_per_key(incoming, [key, "valid_from"], ["row_hash"])
-    history = None
-    timeline = incoming
+    fresh = add_row_hash(updates, tracked).withColumn("valid_from", F.col(effective_ts)).where(F.col(key).isNotNull())
+    fresh = latest_per_key(fresh, [key, "valid_from"], ["row_hash"])
+    kept = None
+    timeline = fresh
     if target is not None:
-        history = target.where(~F.col("is_current"))
-        current = target.where("is_current").select(*payload, "row_hash", "valid_from")
-        known = current.select(key, F.col("valid_from").alias("_since"))
-        fresh = incoming.join(known, key, "left").where(
-            F.col("_since").isNull() | (F.col("valid_from") > F.col("_since"))
-        )
-        timeline = current.unionByName(fresh.drop("_since"))
+        # What is pinned here has the size of the updates; the target is read twice and never sorted.
+        fresh = pin(fresh)
+        keys = fresh.select(key).distinct()
+        touched = pin(target.where("is_current").join(keys, key, "left_semi").select(*payload, "row_hash", "valid_from"))
+        known = touched.select(key, F.col("valid_from").alias("_since"))
+        new = fresh.join(known, key, "left").where(F.col("_since").isNull() | (F.col("valid_from") > F.col("_since")))
+        timeline = touched.unionByName(new.drop("_since"))
+        marked = target.join(touched.select(key, F.lit(True).alias("_touched")), key, "left")
+        kept = marked.where(~F.col("is_current") | F.col("_touched").isNull())
     order = ["valid_from", "row_hash"]
     changes = with_neighbour(timeline, key, "valid_from", order, ["row_hash"], "_prev", cell_seconds=cell_seconds).where(
         F.col("_prev").isNull() | (F.col("_prev.row_hash") != F.col("row_hash"))
     )
-    versions = with_neighbour(changes.drop("_prev"), key, "valid_from", order, ["valid_from"], "_next", after=True, cell_seconds=cell_seconds)
+    changes = pin(changes.drop("_prev"))
+    versions = with_neighbour(changes, key, "valid_from", order, ["valid_from"], "_next", after=True, cell_seconds=cell_seconds)
     ends = F.col("_next.valid_from")
     high = open_end if open_end is not None else F.lit(None)
     opened = versions.select(
@@ -71,7 +75,7 @@ def merge_scd2(
         ends.isNull().alias("is_current"),
         "row_hash",
     )
-    return opened if history is None else history.select(*opened.columns).unionByName(opened)
+    return opened if kept is None else kept.select(*opened.columns).unionByName(opened)
 
 
 def retain(df: DataFrame, date_col: str, days: int, as_of: Column) -> DataFrame:

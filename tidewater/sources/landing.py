@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,7 +76,7 @@ def read_landing_csv(spark: SparkSession, path: str, schema: T.StructType) -> Da
     )
     by_header: dict[str, list[str]] = {}
     for row in first.collect():
-        by_header.setdefault(row["header"], []).append(row["file"])
+        by_header.setdefault(row["header"], []).append(unquote(row["file"]))  # the column is a URI
     frames = []
     for header, files in sorted(by_header.items()):
         names = [n.strip().strip('"') for n in header.lstrip("﻿").split(",")]

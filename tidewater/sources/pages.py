@@ -14,7 +14,7 @@ AVAILABILITY = r"(?s)class=\"[^\"]*availability[^\"]*\"[^>]*>(?:\s*<i[^>]*>\s*</
 
 
 def _found(text: Column, pattern: str) -> Column:
-    hit = F.trim(F.regexp_extract(text, pattern, 1))
+    hit = F.regexp_replace(F.regexp_extract(text, pattern, 1), r"^\s+|\s+$", "")
     return F.when(text.rlike(pattern), hit)
 
 
