@@ -1 +1,126 @@
-"""Queries."""
+"""Streams over the sample tables, run until their input is used up."""
+
+from pyspark.sql import functions as F
+
+from tidewater.plans.schemas import CLICK
+from tidewater.queries.cdc import click_messages
+from tidewater.queries.registry import query
+from tidewater.session import work_dir
+from tidewater.sources.bronze import replay_topic
+from tidewater.streaming import bronze as B
+from tidewater.streaming import stateful as ST
+
+
+def recorded(c, messages, name):
+    """A reader that replays messages recorded as files, whatever the topic."""
+    path = work_dir(c.spark, name)
+    messages.write.parquet(path)
+    return lambda topic: replay_topic(c.spark, path)
+
+
+def event_stream(c):
+    """The events file as a stream of instants."""
+    schema = c.table("events").schema
+    rows = c.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(c.base)
+    return rows.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def run(c, df, name, partition_by=("event_date",)):
+    path = work_dir(c.spark, name)
+    B.write_bronze_stream(df, path, work_dir(c.spark, f"{name}-checkpoint"), partition_by=partition_by).awaitTermination()
+    return c.spark.read.parquet(path)
+
+
+@query(
+    "stream_bronze_rows",
+    """SELECT coalesce(op, 'unreadable') AS cdc_op, event_date, count(*) AS rows FROM (
+    SELECT CASE WHEN o_orderkey % 97 <> 0 THEN 'c' END AS op, CAST(o_orderdate AS DATE) AS event_date FROM orders
+    UNION ALL SELECT 'u', CAST(o_orderdate AS DATE) FROM orders WHERE o_orderkey % 3 = 0
+    UNION ALL SELECT 'd', CAST(o_orderdate AS DATE) FROM orders WHERE o_orderkey % 10 = 0) GROUP BY ALL""",
+)
+def stream_bronze_rows(c):
+    """Change messages streamed into the bronze table, counted per day and operation.
+
+    The sink is partitioned by month here: the sample spreads a few rows over
+    thousands of days.
+    """
+    read = recorded(c, c.cdc_orders(), "topic-orders")
+    parsed = B.parse_envelope(read("orders")).withColumn("month", F.date_format("event_date", "yyyy-MM"))
+    bronze = run(c, parsed, "bronze-cdc", ("month",))
+    return bronze.groupBy(F.coalesce("cdc_op", F.lit("unreadable")).alias("cdc_op"), "event_date").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query(
+    "stream_typed_events",
+    "SELECT CAST(ts AS DATE) AS event_date, count(*) AS rows, CAST(sum(event_id % 9) AS BIGINT) AS positions FROM events "
+    "WHERE event_id % 50 <> 0 AND event_id % 51 <> 0 AND event_id % 53 <> 0 GROUP BY 1",
+)
+def stream_typed_events(c):
+    root, marks = work_dir(c.spark, "bronze"), work_dir(c.spark, "marks")
+    read = recorded(c, click_messages(c), "topic-clicks")
+    streams = B.stream_typed_topics(read, root, marks, {"events.clicks": CLICK}, trigger_seconds=None)
+    B.await_all(c.spark, streams)
+    rows = c.spark.read.parquet(f"{root}/events/clicks").where("event_id is not null and position is not null")
+    return rows.groupBy("event_date").agg(F.count(F.lit(1)).alias("rows"), F.sum("position").alias("positions"))
+
+
+@query(
+    "stream_dead_letter",
+    "SELECT CASE WHEN event_id % 50 = 0 OR event_id % 51 = 0 OR event_id % 53 = 0 THEN 'dead_letter' ELSE 'good' END AS route, "
+    "CAST(ts AS DATE) AS event_date, count(*) AS messages FROM events GROUP BY ALL",
+)
+def stream_dead_letter(c):
+    read = recorded(c, click_messages(c), "topic-clicks")
+    out = run(c, B.route_events(read("clicks"), CLICK), "routed", ("route", "event_date"))
+    return out.groupBy("route", "event_date").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@query(
+    "stream_dedup",
+    "SELECT event_type, count(*) AS events, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events GROUP BY 1",
+)
+def stream_dedup(c):
+    """Every third event arrives twice."""
+    stream = event_stream(c)
+    twice = F.when(F.col("event_id") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    once = ST.dedup(stream.withColumn("copy", F.explode(twice)), delay="1 hour").drop("copy")
+    out = run(c, once.withColumn("event_date", F.to_date("ts")), "deduped")
+    return out.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"), F.sum("event_id").alias("id_sum"))
+
+
+@query(
+    "events_per_minute",
+    "SELECT date_trunc('minute', ts) AS minute, event_type, count(*) AS events FROM events GROUP BY ALL "
+    "HAVING date_trunc('minute', ts) + INTERVAL 1 MINUTE <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events)",
+)
+def events_per_minute(c):
+    rates = ST.rate_per_minute(event_stream(c), by=("event_type",))
+    out = run(c, rates.withColumn("event_date", F.to_date("minute")), "rates")
+    return out.select("minute", "event_type", "events")
+
+
+@query(
+    "session_window_counts",
+    """SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS event_count FROM (
+    SELECT *, sum(CASE WHEN prev IS NULL OR ts > prev + INTERVAL 30 MINUTE THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts) AS s
+    FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events)) GROUP BY user_id, s
+    HAVING max(ts) + INTERVAL 30 MINUTE <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events)""",
+)
+def session_window_counts(c):
+    sessions = ST.session_windows(event_stream(c))
+    out = run(c, sessions.withColumn("event_date", F.to_date("session_start")), "sessions")
+    return out.drop("event_date")
+
+
+@query(
+    "stream_merge",
+    "SELECT event_id, event_type || '!' AS event_type, ts + INTERVAL 1 SECOND AS ts, CAST(ts AS DATE) AS event_date FROM events",
+)
+def stream_merge(c):
+    """Events streamed into silver twice, the second time with later versions of every row."""
+    path = work_dir(c.spark, "silver-events")
+    rows = event_stream(c).select("event_id", "event_type", "ts", F.to_date("ts").alias("event_date"))
+    later = rows.withColumns({"ts": F.col("ts") + F.expr("interval 1 second"), "event_type": F.concat("event_type", F.lit("!"))})
+    for n, df in enumerate((rows, later)):
+        ST.stream_merge(df, path, work_dir(c.spark, f"silver-{n}"), "event_id", "ts", "event_date").awaitTermination()
+    return c.spark.read.parquet(path)
