@@ -269,19 +269,22 @@ def fraud_features(orders: DataFrame, users: DataFrame) -> DataFrame:
     earlier orders, 0 while there is no spread to compare with.
     """
     amount = F.col("total_amount")
-    rows = with_trailing_count(orders, "user_id", "created_at", HOUR, "orders_in_last_hour")
+    first = orders.groupBy("user_id").agg(F.min_by("total_amount", F.struct("created_at", "order_id")).alias("_first"))
+    rows = with_trailing_count(orders, "user_id", "created_at", HOUR, "orders_in_last_hour").join(first, "user_id", "left")
+    # Measured from the user's first amount, sums of squares do not cancel out.
+    offset = amount - F.coalesce("_first", F.lit(0.0))
     rows = with_prior_totals(
         rows,
         "user_id",
         "created_at",
         ["created_at", "order_id"],
-        {"_n": F.lit(1), "_sum": amount, "_squares": amount * amount},
+        {"_n": F.lit(1), "_sum": offset, "_squares": offset * offset},
         DAY,
     )
     mean = F.try_divide("_sum", "_n")
     variance = F.greatest(F.try_divide("_squares", "_n") - mean * mean, F.lit(0.0))
     signup = users.select("user_id", F.to_date("created_at").alias("_signup"))
-    deviation = F.when((F.col("_n") > 1) & (variance > 1e-6), F.try_divide(amount - mean, F.sqrt(variance))).otherwise(F.lit(0.0))
+    deviation = F.when((F.col("_n") > 1) & (variance > 1e-6), F.try_divide(offset - mean, F.sqrt(variance))).otherwise(F.lit(0.0))
     return rows.join(signup, "user_id", "left").select(
         "order_id",
         "user_id",

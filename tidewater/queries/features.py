@@ -271,7 +271,7 @@ def fraud_velocity(c):
         "heads users",
         """SELECT order_id, user_id, total_amount, items_count, hour(h.created_at) AS hour_of_day,
         date_diff('day', CAST(u.created_at AS DATE), CAST(h.created_at AS DATE)) AS days_since_account_creation, orders_in_last_hour,
-        round(CASE WHEN n > 1 AND v > 1e-6 THEN (total_amount - m) / sqrt(v) ELSE 0 END + 1e-9, 4) AS avg_order_value_deviation
+        round(CASE WHEN n > 1 AND v > 1e-6 THEN (total_amount - m) / sqrt(v) ELSE 0 END + 1e-9, 4) + 0.0 AS avg_order_value_deviation
         FROM (SELECT *, count(*) OVER (PARTITION BY user_id ORDER BY created_at RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS orders_in_last_hour,
                      count(*) OVER w AS n, avg(total_amount) OVER w AS m, var_pop(total_amount) OVER w AS v
               FROM heads WINDOW w AS (PARTITION BY user_id ORDER BY created_at, order_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) h
@@ -406,8 +406,8 @@ def demand_last_window(c):
     "demand_scaled",
     sql(
         "demand",
-        "SELECT ds, round((orders - avg(orders) OVER ()) / stddev_pop(orders) OVER () + 1e-9, 6) AS orders_z, "
-        "round((gmv - avg(gmv) OVER ()) / stddev_pop(gmv) OVER () + 1e-9, 6) AS gmv_z FROM demand",
+        "SELECT ds, round((orders - avg(orders) OVER ()) / stddev_pop(orders) OVER () + 1e-9, 6) + 0.0 AS orders_z, "
+        "round((gmv - avg(gmv) OVER ()) / stddev_pop(gmv) OVER () + 1e-9, 6) + 0.0 AS gmv_z FROM demand",
     ),
 )
 def demand_scaled(c):

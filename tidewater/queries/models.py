@@ -174,7 +174,7 @@ _CUT = "2000-01-01"
                    FROM recs JOIN rel USING (buyer_id, product_id) GROUP BY 1) USING (u))""",
         f"""rel AS (SELECT DISTINCT buyer_id, product_id FROM live WHERE created_at >= TIMESTAMP '{_CUT}'),
         recs AS (SELECT buyer_id, product_id, rank FROM (SELECT buyer_id, product_id, row_number() OVER (PARTITION BY buyer_id ORDER BY sum(quantity) DESC, product_id) AS rank
-                 FROM live WHERE created_at < TIMESTAMP '{_CUT}' GROUP BY ALL) WHERE rank <= 20)""",
+                 FROM live WHERE created_at < TIMESTAMP '{_CUT}' GROUP BY buyer_id, product_id) WHERE rank <= 20)""",
     ),
 )
 def rank_metrics(c):
@@ -225,7 +225,7 @@ def classification_metrics(c):
         "pays",
         """SELECT round(score + 1e-9, 6) AS threshold, round(f1 + 1e-9, 6) AS f1, CAST(tp AS BIGINT) AS tp, CAST(flagged AS BIGINT) AS flagged FROM (
         SELECT score, tp, flagged, 2.0 * tp / (flagged + total) AS f1 FROM (SELECT score, sum(pos) OVER w AS tp, sum(pos + neg) OVER w AS flagged, sum(pos) OVER () AS total
-        FROM steps WINDOW w AS (ORDER BY score DESC))) ORDER BY round(2.0 * tp / flagged, 0) * 0 + round(f1, 12) DESC, score DESC LIMIT 1""",
+        FROM steps WINDOW w AS (ORDER BY score DESC))) ORDER BY round(f1, 12) DESC, score DESC LIMIT 1""",
         _SCORED,
     ),
 )

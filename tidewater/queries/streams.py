@@ -90,8 +90,8 @@ def stream_dedup(c):
 
 @query(
     "events_per_minute",
-    "SELECT date_trunc('minute', ts) AS minute, event_type, count(*) AS events FROM events GROUP BY ALL "
-    "HAVING date_trunc('minute', ts) + INTERVAL 1 MINUTE <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events)",
+    "SELECT * FROM (SELECT date_trunc('minute', ts) AS minute, event_type, count(*) AS events FROM events GROUP BY 1, 2) "
+    "WHERE minute + INTERVAL 1 MINUTE <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events)",
 )
 def events_per_minute(c):
     rates = ST.rate_per_minute(event_stream(c), by=("event_type",))

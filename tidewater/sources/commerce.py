@@ -144,8 +144,8 @@ class Commerce:
                 )
             )
 
-        first = image(F.lit("CREATED"), created)
-        later = image(F.when(F.col("o_orderstatus") == "F", "DELIVERED").otherwise("SHIPPED"), created)
+        first = image(F.lit("CREATED"), created).alias("first")
+        later = image(F.when(F.col("o_orderstatus") == "F", "DELIVERED").otherwise("SHIPPED"), created).alias("later")
         none = F.lit(None).cast("string")
 
         def change(n: int, op: str, before: Column, after: Column, when: Column) -> Column:
@@ -164,13 +164,14 @@ class Commerce:
         deleted = key % 10 == 0
         changes = F.array_compact(
             F.array(
-                change(0, "c", none, first, F.lit(True)),
-                change(1, "u", first, later, updated),
-                change(2, "d", F.when(updated, later).otherwise(first), none, deleted),
+                change(0, "c", none, F.col("first"), F.lit(True)),
+                change(1, "u", F.col("first"), F.col("later"), updated),
+                change(2, "d", F.when(updated, F.col("later")).otherwise(F.col("first")), none, deleted),
             )
         )
         return (
             self.table("orders")
+            .select(key, "o_orderdate", first, later)
             .select(key, seen.alias("seen"), F.explode(changes).alias("c"))
             .select(
                 F.col("o_orderkey").cast("string").cast("binary").alias("key"),
