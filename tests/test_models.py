@@ -101,3 +101,19 @@ def test_anomalies(spark):
     df = spark.range(100).select("id", F.when(F.col("id") < 3, 1000.0).otherwise(F.col("id") / 100.0).alias("a"), F.lit(1.0).alias("b"))
     flagged = ML.anomaly_scores(df, ("a", "b"), 0.03).where("is_anomaly").select("id").collect()
     assert sorted(r["id"] for r in flagged) == [0, 1, 2]
+
+
+def test_isolation_forest(spark):
+    from tidewater.plans.isolation import expected_path, forest, isolation_scores
+
+    x = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1000)) / 1000.0
+    y = F.pmod(F.xxhash64("id", F.lit(6)), F.lit(1000)) / 1000.0
+    df = spark.range(1000).select("id", F.when(F.col("id") < 10, x + 30).otherwise(x).alias("x"), F.when(F.col("id") < 10, y - 30).otherwise(y).alias("y"))
+    nodes = forest(df, "id", ("x", "y"), trees=20, sample=64)
+    per_tree = nodes.groupBy("tree").count().collect()
+    assert len(per_tree) == 20 and max(r["count"] for r in per_tree) <= 2 * 120
+    out = isolation_scores(df, "id", ("x", "y"), trees=40, sample=64, contamination=0.01)
+    assert out.count() == 1000
+    assert sorted(r["id"] for r in out.orderBy(F.col("anomaly_score").desc()).limit(10).collect()) == list(range(10))
+    assert out.where("is_anomaly").count() <= 10
+    assert expected_path(2) == 1.0 and expected_path(256) == pytest.approx(10.244770920119, rel=1e-9)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions import row_hash
@@ -100,6 +100,22 @@ def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ())
     fs.delete(old, True)
 
 
+def write_counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Write and return the number of rows, observed on the way instead of counted again."""
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return seen.get["rows"]
+
+
+def save_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int) -> None:
+    """A catalog table bucketed and sorted by its join key.
+
+    Two tables with the same key and bucket count join without a shuffle. Worth
+    it for the large pairs that are joined in every build, like orders and lines.
+    """
+    df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace only the partitions present in ``df``; rerunning a day is idempotent."""
     (

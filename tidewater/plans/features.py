@@ -13,7 +13,6 @@ from tidewater.operators.asof import asof_join, latest_features
 from tidewater.operators.latest import require_columns
 from tidewater.operators.timecells import DAY, HOUR, with_prior_totals, with_trailing_count
 from tidewater.plans.marts import LIVE, sold
-from tidewater.plans.star import spine_of
 
 
 def payments_joined(payments: DataFrame, orders: DataFrame) -> DataFrame:
@@ -389,7 +388,3 @@ def scaled(series: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     return series.withColumns({f"{c}_z": z(c) for c in columns})
 
-
-def dense_day_series(series: DataFrame, date: str, zeros: dict[str, float]) -> DataFrame:
-    """A daily series with zero rows for the missing days."""
-    return spine_of(series, date).withColumnRenamed("full_date", date).join(series, date, "left").fillna(zeros)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import date_key, label_map, surrogate_key
 from tidewater.operators.asof import asof_join
-from tidewater.operators.cdc import current_state
 from tidewater.operators.sessions import session_facts
 
 # Brazilian national holidays with a fixed date (day, month, name).
@@ -181,7 +180,3 @@ def session_values(sessions: DataFrame, orders: DataFrame) -> DataFrame:
     )
     return sessions.join(totals, "session_sk", "left").fillna({"total_value": 0.0})
 
-
-def gold_current(bronze: DataFrame, key: str, schema, renamed: str, deletes: str = "ignore") -> DataFrame:
-    """Gold dimension or fact straight from a bronze CDC table: current rows, key renamed."""
-    return current_state(bronze, key, schema, deletes).withColumnRenamed(key, renamed)

@@ -7,6 +7,8 @@ from tidewater.functions import parse_ts
 from tidewater.operators import cdc as C
 from tidewater.operators import cleaning as CL
 from tidewater.operators import merge as MG
+from tidewater.plans import operational as OP
+from tidewater.plans import silver as SI
 from tidewater.plans.schemas import CLICK
 from tidewater.queries.oracle import sql
 from tidewater.queries.registry import query
@@ -104,6 +106,70 @@ def cdc_current_state_apply_deletes(c):
     return C.current_state(bronze(c), "id", ORDER_IMAGE, deletes="apply")
 
 
+@query(
+    "fact_orders_operational",
+    _STATE.replace("o_orderkey AS id", "o_orderkey AS order_id").replace("o_orderdate AS created_at", "CAST(NULL AS BIGINT) AS product_id, o_orderdate AS created_at"),
+)
+def fact_orders_operational(c):
+    return OP.fact_orders(bronze(c)).select("order_id", "buyer_id", "total_amount", "status", "product_id", "created_at")
+
+
+def user_changes(c):
+    """Bronze user rows: everyone created, every second one blocked later, with padded text and mixed case."""
+    key = F.col("c_custkey")
+
+    def image(status, at):
+        return F.to_json(
+            F.struct(
+                key.cast("string").alias("user_id"),
+                F.concat(F.lit(" USER"), key.cast("string"), F.lit("@X.example ")).alias("email"),
+                F.concat(F.lit(" "), F.col("c_name")).alias("name"),
+                status.alias("status"),
+                F.lit("2024-01-01T00:00:00Z").alias("created_at"),
+                F.lit(at).alias("updated_at"),
+            )
+        )
+
+    first = F.struct(F.lit("c").alias("op"), image(F.when(key % 3 != 0, "active"), "2024-01-01T00:00:00Z").alias("after"))
+    second = F.struct(F.lit("u").alias("op"), image(F.lit("blocked"), "1706745600000").alias("after"))
+    changes = F.when(key % 2 == 0, F.array(first, second)).otherwise(F.array(first))
+    return c.table("customer").select(F.explode(changes).alias("x")).select(
+        F.col("x.op").alias("cdc_op"), F.col("x.after").alias("payload_after"), F.lit("0").alias("cdc_ts_ms")
+    )
+
+
+@query(
+    "silver_users",
+    """SELECT user_id, 'user' || user_id || '@x.example' AS email, c_name AS name, status, valid_from,
+    CASE WHEN n = 1 AND c_custkey % 2 = 0 THEN TIMESTAMP '2024-02-01' END AS valid_to, n = 2 OR c_custkey % 2 = 1 AS is_current FROM (
+    SELECT c_custkey, CAST(c_custkey AS VARCHAR) AS user_id, c_name, 1 AS n, CASE WHEN c_custkey % 3 <> 0 THEN 'active' ELSE 'unknown' END AS status,
+           TIMESTAMP '2024-01-01' AS valid_from FROM customer
+    UNION ALL SELECT c_custkey, CAST(c_custkey AS VARCHAR), c_name, 2, 'blocked', TIMESTAMP '2024-02-01' FROM customer WHERE c_custkey % 2 = 0)""",
+)
+def silver_users(c):
+    out = SI.silver_users(None, user_changes(c))
+    return out.select("user_id", "email", "name", "status", "valid_from", "valid_to", "is_current")
+
+
+@query(
+    "silver_orders",
+    "SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CASE WHEN o_orderkey % 3 = 0 THEN 'completed' ELSE 'pending' END AS status, "
+    "CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END AS updated_at FROM orders",
+)
+def silver_orders(c):
+    """Two images of every third order, merged one batch after the other."""
+
+    def batch(status, days):
+        at = F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(days=F.lit(days))
+        body = F.to_json(
+            F.struct(F.col("o_orderkey").cast("string").alias("order_id"), F.lit(status).alias("status"), F.unix_millis(at).cast("string").alias("updated_at"))
+        )
+        return c.table("orders").select("o_orderkey", body.alias("payload_after"), F.lit("c").alias("cdc_op"), F.lit("0").alias("cdc_ts_ms"))
+
+    first = SI.silver_orders(None, batch("pending", 0))
+    return SI.silver_orders(first, batch("completed", 1).where("o_orderkey % 3 = 0")).select("order_id", "status", "updated_at")
+
+
 @query(
     "cdc_dead_letters",
     "SELECT CAST(o_orderkey AS VARCHAR) AS record_key, '{bad' AS raw_json, CAST(o_orderdate AS DATE) AS event_date FROM orders WHERE o_orderkey % 97 = 0",

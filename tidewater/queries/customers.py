@@ -31,6 +31,7 @@ def customer_rfm_raw(c):
         "SELECT user_id, recency_days, frequency, round(monetary, 2) AS monetary, r_score, f_score, m_score, "
         "rfm_total, rfm_cell, rfm_segment FROM rfmmart",
     ),
+    ints="recency_days",
 )
 def rfm_scores(c):
     orders = completed(c)
@@ -126,7 +127,7 @@ def churn(c):
     return M.churn_features(orders, as_of(orders))
 
 
-@query("churn_features", sql("churn", f"SELECT {_CHURN} FROM churn"))
+@query("churn_features", sql("churn", f"SELECT {_CHURN} FROM churn"), ints="days_since_last_order customer_tenure_days")
 def churn_features(c):
     return rounded(churn(c), total_revenue=2, avg_order_value=4, avg_items_per_order=6, recency_ratio=6)
 
@@ -134,6 +135,7 @@ def churn_features(c):
 @query(
     "churn_features_cutoff",
     sql("churn", f"SELECT {_CHURN} FROM churn WHERE first_order_date <= DATE '1996-06-30'"),
+    ints="days_since_last_order customer_tenure_days",
 )
 def churn_features_cutoff(c):
     known = M.known_by(churn(c), "first_order_date", F.lit("1996-06-30").cast("date"))
@@ -159,6 +161,7 @@ def churn_features_cutoff(c):
               FROM (SELECT *, CAST(created_at AS DATE) AS d, CAST(created_at AS DATE) <= DATE '2000-01-01' AS past FROM heads) GROUP BY user_id)
         LEFT JOIN users u USING (user_id) WHERE l IS NOT NULL""",
     ),
+    ints="recency_days days_since_account_creation",
 )
 def churn_features_doc(c):
     day = F.lit("2000-01-01").cast("timestamp")

@@ -142,7 +142,7 @@ _PAY = (
 )
 
 
-@query("payment_dataset", sql("paydata", f"SELECT {_PAY} FROM paydata"))
+@query("payment_dataset", sql("paydata", f"SELECT {_PAY} FROM paydata"), ints="hour dow")
 def payment_dataset(c):
     return rounded(FE.payment_dataset(paid(c)), buyer_avg_amount=4, buyer_fail_rate_hist=6)
 
@@ -158,6 +158,7 @@ def payment_dataset(c):
         "CASE WHEN buyer_id IS NULL THEN 0 ELSE coalesce(avg(CASE WHEN status = 'FAILED' THEN 1.0 ELSE 0.0 END) OVER w, 0) END AS buyer_fail_rate_hist "
         "FROM pays WINDOW w AS (PARTITION BY buyer_id ORDER BY created_at, payment_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))",
     ),
+    ints="hour dow",
 )
 def payment_history_pit(c):
     return rounded(FE.payment_history_pit(paid(c)), buyer_avg_amount=4, buyer_fail_rate_hist=6)
@@ -206,6 +207,7 @@ def event_interactions(c):
         "customer_tenure_days, round(recency_ratio + 1e-9, 6) AS recency_ratio, r_score, f_score, m_score, rfm_total, rfm_segment "
         "FROM churn LEFT JOIN (SELECT user_id, r_score, f_score, m_score, rfm_total, rfm_segment FROM rfmmart) USING (user_id)",
     ),
+    ints="days_since_last_order customer_tenure_days",
 )
 def ml_user_features(c):
     orders = CU.completed(c)
@@ -244,6 +246,7 @@ def ml_product_features(c):
         "FROM sess WHERE event_count >= 2",
         sessions_sql(720),
     ),
+    ints="sequence_length start_hour start_day_of_week",
 )
 def ml_session_features(c):
     out = FE.ml_session_features(session_facts(c.events(), 720))
@@ -277,6 +280,7 @@ def fraud_velocity(c):
               FROM heads WINDOW w AS (PARTITION BY user_id ORDER BY created_at, order_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) h
         LEFT JOIN users u USING (user_id)""",
     ),
+    ints="hour_of_day days_since_account_creation",
 )
 def fraud_features(c):
     return rounded(FE.fraud_features(c.orders(), c.users()), avg_order_value_deviation=4)
@@ -326,6 +330,7 @@ def latest(c):
         "SELECT buyer_id, product_id, units, rank FROM (SELECT *, row_number() OVER (PARTITION BY buyer_id ORDER BY units DESC, product_id) AS rank "
         "FROM matrix) WHERE rank <= 5",
     ),
+    ints="rank",
 )
 def top_items_per_user(c):
     triples = FE.user_item_matrix(c.order_lines()).select("buyer_id", "product_id", "units")

@@ -8,11 +8,13 @@ from tidewater.operators.ranking import top_per_group
 from tidewater.operators.sessions import item_transitions
 from tidewater.plans import features as FE
 from tidewater.plans import forecasting as FO
+from tidewater.plans import isolation
 from tidewater.plans import marts as M
 from tidewater.plans import models as ML
 from tidewater.queries.features import paid, user_feature_table
 from tidewater.queries.oracle import sessions_sql, sql
 from tidewater.queries.registry import query, rounded
+from tidewater.session import pin
 
 
 def demand(c):
@@ -102,6 +104,7 @@ def popular_items(c):
         "SELECT ds, product_id, n, rank FROM (SELECT *, row_number() OVER (PARTITION BY ds ORDER BY n DESC, product_id) AS rank FROM "
         "(SELECT CAST(created_at AS DATE) AS ds, product_id, count(*) AS n FROM live GROUP BY ALL)) WHERE rank <= 5",
     ),
+    ints="rank",
 )
 def top_popular_daily(c):
     counts = M.sold(c.order_lines(), M.LIVE).groupBy(F.to_date("created_at").alias("ds"), "product_id").agg(F.count(F.lit(1)).alias("n"))
@@ -117,6 +120,7 @@ def top_popular_daily(c):
         "(PARTITION BY user_id, session_num ORDER BY event_ts, event_id) AS nxt FROM numbered WHERE product_id IS NOT NULL) WHERE nxt IS NOT NULL GROUP BY ALL)) WHERE rank <= 3",
         sessions_sql(720),
     ),
+    ints="rank",
 )
 def next_item_transitions(c):
     return ML.next_item_table(item_transitions(c.events(), 720), 3)
@@ -140,6 +144,7 @@ def als_recommendations(c):
         "SELECT buyer_id, rank, r.product_id, title, category, price FROM (SELECT *, row_number() OVER (PARTITION BY buyer_id ORDER BY units DESC, product_id) AS rank "
         "FROM matrix) r LEFT JOIN products p USING (product_id) WHERE rank <= 3",
     ),
+    ints="rank",
 )
 def recs_with_attributes(c):
     best = top_per_group(
@@ -281,7 +286,7 @@ def feature_drift(c):
     "risk_bands",
     sql(
         "pays",
-        "SELECT risk, count(*) AS payments, round(min(p), 4) AS lowest FROM (SELECT CASE WHEN p >= 0.7 THEN 'high' WHEN p >= 0.4 THEN 'medium' ELSE 'low' END AS risk, p "
+        "SELECT risk, count(*) AS payments, CAST(min(p) AS DOUBLE) AS lowest FROM (SELECT CASE WHEN p >= 0.7 THEN 'high' WHEN p >= 0.4 THEN 'medium' ELSE 'low' END AS risk, p "
         "FROM (SELECT CASE WHEN amount >= 100000 THEN 0.9 ELSE 0.05 END AS p FROM pays UNION ALL SELECT 0.5 FROM pays WHERE buyer_id IS NULL)) GROUP BY 1",
     ),
 )
@@ -307,11 +312,37 @@ def risk_bands(c):
     ),
 )
 def anomaly_scores(c):
-    rows = FE.fraud_features(c.orders(), c.users())
+    rows = pin(FE.fraud_features(c.orders(), c.users()))
     out = ML.anomaly_scores(rows, ("total_amount", "items_count", "days_since_account_creation"))
     return out.select("order_id", "anomaly_score", "is_anomaly")
 
 
+@query("isolation_scores")
+def isolation_scores(c):
+    rows = pin(FE.fraud_features(c.orders(), c.users()))
+    out = isolation.isolation_scores(rows, "order_id", ML.FRAUD_FEATURES)
+    return out.select("order_id", "anomaly_score", "is_anomaly")
+
+
+@query("fraud_scored")
+def fraud_scored(c):
+    """Boosted trees over the fraud features and the anomaly score; failed payments stand in for labels."""
+    rows = isolation.isolation_scores(pin(FE.fraud_features(c.orders(), c.users())), "order_id", ML.FRAUD_FEATURES, trees=50)
+    labels = c.payments().select(F.col("payment_id").alias("order_id"), F.when(F.col("status") == "FAILED", 1).otherwise(0).alias("is_fraud"))
+    data = pin(rows.drop("is_anomaly").join(labels, "order_id"))
+    features = (*ML.FRAUD_FEATURES, "anomaly_score")
+    _, out = ML.fit_boosted(data, features, "is_fraud", "order_id", trees=20, depth=5, rate=0.05, subsample=1.0, test_share=0.2, positive_weight=19)
+    return rounded(out.select("order_id", "is_fraud", "probability", "risk", "is_test"), probability=4)
+
+
+@query("als_event_recommendations")
+def als_event_recommendations(c):
+    """Factors from behaviour events, top 10 unseen items per user."""
+    triples = FE.event_interactions(c.events())
+    model = ML.fit_als(triples, "user_id", "product_id", F.col("interaction_count"), rank=128, iterations=50, reg=0.01, alpha=40.0)
+    return ML.recommend(model, triples.select("user_id").distinct(), "user_id", "product_id", 10, seen=triples)
+
+
 @query("churn_scored")
 def churn_scored(c):
     data = FE.churn_dataset(user_feature_table(c), days=60)

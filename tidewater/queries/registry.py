@@ -23,7 +23,12 @@ class Registered:
 _QUERIES: dict[str, Registered] = {}
 
 
-def query(key: str, sql: str | None = None) -> Callable[[Build], Build]:
+def query(key: str, sql: str | None = None, ints: str = "") -> Callable[[Build], Build]:
+    """Register a query with its oracle; ``ints`` names oracle columns that are 32-bit in Spark."""
+    if sql and ints:
+        casts = ", ".join(f"CAST({c} AS INTEGER) AS {c}" for c in ints.split())
+        sql = f"SELECT * REPLACE ({casts}) FROM ({sql})"
+
     def register(build: Build) -> Build:
         if key in _QUERIES:
             raise ValueError(f"query {key} registered twice")

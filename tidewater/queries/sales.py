@@ -162,6 +162,7 @@ def latest_orders(c):
         "SELECT dayofweek(created_at) + 1 AS dow, hour(created_at) AS hour, count(*) AS orders, round(sum(amount), 2) AS gmv "
         "FROM pays GROUP BY ALL",
     ),
+    ints="dow hour",
 )
 def sales_heatmap(c):
     return rounded(D.sales_heatmap(c.payments()), gmv=2)

@@ -34,6 +34,7 @@ def scalar_strings(c):
     """SELECT event_id, hour(ts) AS hour, dayofweek(ts) + 1 AS dow, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS date_sk, weekofyear(ts) AS week,
     dayname(ts) AS day_name, date_sub('minute', ts, TIMESTAMP '2024-02-01') AS minutes_left, date_sub('second', ts, TIMESTAMP '2024-02-01') AS seconds_left,
     round((epoch(TIMESTAMP '2024-02-01') - floor(epoch(ts))) / 86400.0 + 1e-9, 6) AS days_left, CAST(ts AS DATE) >= DATE '2024-01-25' AS last_week FROM events""",
+    ints="hour dow week",
 )
 def scalar_dates(c):
     end = F.lit("2024-02-01").cast("timestamp")

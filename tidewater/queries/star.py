@@ -24,6 +24,7 @@ _HOLIDAYS = (
     month(full_date) = 11 AND dayofweek(full_date) = 5 AND day(full_date) BETWEEN 23 AND 29 AS is_black_friday,
     holiday_name IS NOT NULL AS is_national_holiday, holiday_name, coalesce(orders, 0) AS orders
     FROM days LEFT JOIN h ON hd = day(full_date) AND hm = month(full_date) LEFT JOIN perday USING (full_date)""",
+    ints="year month_of_year day_of_month week_of_year day_of_week quarter",
 )
 def dim_date(c):
     """The calendar over the span of the orders, with the orders of each day."""
@@ -64,6 +65,7 @@ def dim_product(c):
         "date_diff('day', CAST(h.created_at AS DATE), CAST(completed_at AS DATE)) AS fulfillment_days "
         "FROM heads h LEFT JOIN (SELECT user_id FROM users WHERE user_type = 'BUYER') u ON u.user_id = h.user_id",
     ),
+    ints="fulfillment_days",
 )
 def fact_orders(c):
     """Sellers are left out of the dimension, and the calendar starts in 1998, so both fallbacks take part."""
