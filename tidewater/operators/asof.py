@@ -31,10 +31,8 @@ def asof_join(
     require_columns(spine, [entity, spine_ts], "asof_join spine")
     require_columns(features, [entity, feature_ts, *columns], "asof_join features")
     value = F.struct(micros(feature_ts).alias("at"), F.col(feature_ts).alias("fts"), F.struct(*columns).alias("v"))
-    facts = (
-        features.where(F.col(entity).isNotNull() & F.col(feature_ts).isNotNull())
-        .groupBy(entity, cell_of(feature_ts, cell_seconds).alias(CELL), micros(feature_ts).alias("_at"))
-        .agg(F.max(value).alias("_f"))
+    facts = features.where(F.col(entity).isNotNull() & F.col(feature_ts).isNotNull()).select(
+        entity, cell_of(feature_ts, cell_seconds).alias(CELL), micros(feature_ts).alias("_at"), value.alias("_f")
     )
     rows = spine.select(
         entity, cell_of(spine_ts, cell_seconds).alias(CELL), micros(spine_ts).alias("_at"), F.struct(*spine.columns).alias("_s")
@@ -44,7 +42,8 @@ def asof_join(
     timeline = asked.unionByName(per_cell, allowMissingColumns=True).groupBy(entity, CELL).agg(F.max("_f").alias("_f"))
     earlier = Window.partitionBy(entity).orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
     carried = timeline.select(entity, CELL, F.last("_f", ignorenulls=True).over(earlier).alias("_far"))
-    inside = Window.partitionBy(entity, CELL).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    # Spine rows come last at equal times; of features at one time the greatest is last.
+    inside = Window.partitionBy(entity, CELL).orderBy("_at", "_side", "_f").rowsBetween(Window.unboundedPreceding, 0)
     matched = (
         rows.withColumn("_side", F.lit(1))
         .unionByName(facts.withColumn("_side", F.lit(0)), allowMissingColumns=True)

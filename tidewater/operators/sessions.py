@@ -14,18 +14,22 @@ from tidewater.functions import complete_minutes, complete_seconds, surrogate_ke
 from tidewater.operators.timecells import CELL, cell_of
 
 
+def _numbered(cells: DataFrame, gap_minutes: int, user: str, first: str, last: str) -> DataFrame:
+    """Cells with their session number, counted from 1 per user."""
+    timeline = Window.partitionBy(user).orderBy(CELL)
+    before = F.lag(last).over(timeline)
+    starts = F.when(before.isNull() | (complete_minutes(before, first) > gap_minutes), 1).otherwise(0)
+    return cells.withColumn("_starts", starts).withColumn("session_num", F.sum("_starts").over(timeline)).drop("_starts")
+
+
 def session_map(events: DataFrame, gap_minutes: int = 30, user: str = "user_id", ts: str = "event_ts") -> DataFrame:
-    """(user, cell) to session number, counted from 1 per user."""
+    """(user, cell) to session number."""
     cells = (
         events.where(F.col(user).isNotNull())
         .groupBy(user, cell_of(ts, gap_minutes * 60).alias(CELL))
         .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"))
     )
-    timeline = Window.partitionBy(user).orderBy(CELL)
-    before = F.lag("_last").over(timeline)
-    starts = F.when(before.isNull() | (complete_minutes(before, "_first") > gap_minutes), 1).otherwise(0)
-    flagged = cells.withColumn("_starts", starts)
-    return flagged.select(user, CELL, F.sum("_starts").over(timeline).alias("session_num"))
+    return _numbered(cells, gap_minutes, user, "_first", "_last").select(user, CELL, "session_num")
 
 
 def tag_sessions(events: DataFrame, gap_minutes: int = 30, user: str = "user_id", ts: str = "event_ts") -> DataFrame:
@@ -73,7 +77,8 @@ def session_facts(events: DataFrame, gap_minutes: int = 30, with_sequence: bool
             .withColumn("distinct_products_viewed", F.size(F.array_distinct(F.array_compact("product_sequence"))).cast("long"))
         )
     else:
-        per_session = rows.groupBy(*keys).agg(*scalars).join(mapped, keys).groupBy(*group).agg(*merged)
+        cells = _numbered(rows.groupBy(*keys).agg(*scalars), gap_minutes, "user_id", "session_start", "session_end")
+        per_session = cells.groupBy(*group).agg(*merged)
         products = rows.where(F.col("product_id").isNotNull()).groupBy(*keys, "product_id").agg(F.lit(1).alias("_one"))
         distinct = (
             products.join(mapped, keys)
