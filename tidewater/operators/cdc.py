@@ -110,9 +110,9 @@ def current_state(bronze: DataFrame, key: str, schema: T.StructType, deletes: st
     else:
         image = F.when(F.col("cdc_op") == "d", F.col("payload_before")).otherwise(F.col("payload_after"))
     rows = rows.withColumn("_image", image)
-    parsed = parse_payload(rows, schema, "_image", ("cdc_op", *order)).where(F.col(key).isNotNull())
+    parsed = parse_payload(rows, schema, "_image", ("cdc_op", *order))
     names = [f.name for f in schema.fields]
-    last = latest_per_key(parsed, [key], order)
+    last = latest_per_key(parsed, [key], order, drop_null_key=True)
     if deletes == "apply":
         last = last.where(F.col("cdc_op") != "d")
     return last.select(*names)
