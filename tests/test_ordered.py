@@ -132,3 +132,19 @@ def test_asof_borders(spark):
 def test_top_per_group_limits_before_the_shuffle(spark, events):
     plan = R.top_per_group(events, ["user_id"], [F.col("event_ts")], 3)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and plan.index("Final") < plan.index("Partial")
+
+
+def test_lookup_spreads_rows_without_a_key(spark):
+    from tidewater.operators.joins import lookup
+
+    facts = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, F.col("id") % 7).alias("k"))
+    dim = spark.createDataFrame([(0, "zero"), (3, "three"), (None, "never")], "k long, name string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = lookup(facts, dim.withColumnRenamed("k", "dk"), "k", "dk", "id")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "_spread" in plan.split("SortMergeJoin")[1].split("\n")[0]
+        same(out, facts.join(dim, "k", "left").select("id", "k", "name"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import fractional_days, guarded_ratio, last_days, last_items
 from tidewater.operators.asof import asof_join, latest_features
+from tidewater.operators.joins import lookup
 from tidewater.operators.latest import require_columns
 from tidewater.operators.timecells import DAY, HOUR, with_prior_totals, with_trailing_count
 from tidewater.plans.marts import LIVE, sold
@@ -18,7 +19,7 @@ from tidewater.plans.marts import LIVE, sold
 def payments_joined(payments: DataFrame, orders: DataFrame) -> DataFrame:
     """Payments with the buyer of their order, null when the order is unknown."""
     buyers = orders.select(F.col("order_id").alias("_order"), F.col("user_id").alias("buyer_id"))
-    return payments.join(buyers, F.col("order_id") == F.col("_order"), "left").drop("_order")
+    return lookup(payments, buyers, "order_id", "_order", "payment_id")
 
 
 def _failed() -> Column:
@@ -122,7 +123,8 @@ def payment_dataset(paid: DataFrame) -> DataFrame:
         F.avg(_failed()).alias("buyer_fail_rate_hist"),
     )
     defaults = {"buyer_pay_count": 0, "buyer_avg_amount": 0.0, "buyer_fail_rate_hist": 0.0}
-    return _payment_columns(paid.join(history, "buyer_id", "left").fillna(defaults))
+    known = lookup(paid, history.withColumnRenamed("buyer_id", "_buyer"), "buyer_id", "_buyer", "payment_id")
+    return _payment_columns(known.fillna(defaults))
 
 
 def payment_history_pit(paid: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import date_key, label_map, surrogate_key
 from tidewater.operators.asof import asof_join
+from tidewater.operators.joins import lookup
 from tidewater.operators.sessions import session_facts
 
 # Brazilian national holidays with a fixed date (day, month, name).
@@ -103,10 +104,9 @@ def dim_products(products: DataFrame, stock: str = "stock") -> DataFrame:
     return out.select("product_sk", *[c for c in out.columns if c != "product_sk"])
 
 
-def _with_user_key(df: DataFrame, users: DataFrame) -> DataFrame:
+def _with_user_key(df: DataFrame, users: DataFrame, row_id: str) -> DataFrame:
     keys = users.select(F.col("user_id").alias("_user_id"), "user_sk")
-    joined = df.join(keys, F.col("user_id") == F.col("_user_id"), "left").drop("_user_id")
-    return joined.withColumn("user_sk", F.coalesce("user_sk", F.lit(UNKNOWN)))
+    return lookup(df, keys, "user_id", "_user_id", row_id).withColumn("user_sk", F.coalesce("user_sk", F.lit(UNKNOWN)))
 
 
 def _with_date_key(df: DataFrame, days: DataFrame, ts: str, name: str) -> DataFrame:
@@ -118,7 +118,7 @@ def _with_date_key(df: DataFrame, days: DataFrame, ts: str, name: str) -> DataFr
 
 def fact_orders(orders: DataFrame, users: DataFrame, days: DataFrame) -> DataFrame:
     """One row per order with dimension keys, completion flag and days to completion."""
-    joined = _with_date_key(_with_user_key(orders, users), days, "created_at", "order_date_sk")
+    joined = _with_date_key(_with_user_key(orders, users, "order_id"), days, "created_at", "order_date_sk")
     return joined.select(
         surrogate_key("order_id").alias("order_sk"),
         "order_id",
@@ -140,10 +140,9 @@ def fact_orders(orders: DataFrame, users: DataFrame, days: DataFrame) -> DataFra
 def fact_events(events: DataFrame, users: DataFrame, products: DataFrame, days: DataFrame) -> DataFrame:
     """One row per event with dimension keys; unmatched users and products are 'unknown'."""
     product_keys = products.select(F.col("product_id").alias("_product_id"), "product_sk")
-    keyed = (
-        _with_date_key(_with_user_key(events, users), days, "event_ts", "event_date_sk")
-        .join(product_keys, F.col("product_id") == F.col("_product_id"), "left")
-        .withColumn("product_sk", F.coalesce("product_sk", F.lit(UNKNOWN)))
+    dated = _with_date_key(_with_user_key(events, users, "event_id"), days, "event_ts", "event_date_sk")
+    keyed = lookup(dated, product_keys, "product_id", "_product_id", "event_id").withColumn(
+        "product_sk", F.coalesce("product_sk", F.lit(UNKNOWN))
     )
     return keyed.select(
         "event_id",

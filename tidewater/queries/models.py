@@ -345,13 +345,13 @@ def als_event_recommendations(c):
 
 @query("churn_scored")
 def churn_scored(c):
-    data = FE.churn_dataset(user_feature_table(c), days=60)
+    data = pin(FE.churn_dataset(user_feature_table(c), days=60))
     _, out = ML.fit_boosted(data, FE.CHURN_FEATURES, "churn_label", "buyer_id", trees=20)
     return rounded(out.select("buyer_id", "churn_label", "probability", "risk", "is_test"), probability=4)
 
 
 @query("payment_risk_scored")
 def payment_risk_scored(c):
-    data, features = ML.payment_features(FE.payment_history_pit(paid(c)))
+    data, features = ML.payment_features(pin(FE.payment_history_pit(paid(c))))
     _, out = ML.fit_boosted(data, features, "failed_label", "payment_id", trees=20, rate=0.08)
     return rounded(out.select("payment_id", "failed_label", "probability", "risk", "is_test"), probability=4)
