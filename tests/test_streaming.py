@@ -89,3 +89,9 @@ def test_monitoring_and_sessions_match_batch_for_closed_windows(spark):
     B.write_bronze_stream(ST.session_windows(stream).withColumn("event_date", F.to_date("session_start")), sessions, work_dir(spark, "m")).awaitTermination()
     assert sorted(r["events"] for r in spark.read.parquet(rates).collect()) == [1, 1, 2]
     assert sorted(r["event_count"] for r in spark.read.parquet(sessions).collect()) == [1, 3]
+
+
+def test_topic_reader_builds_without_the_connector(spark):
+    from tidewater.sources.bronze import topic_reader
+
+    assert topic_reader(spark, "cdc.shop.public.products", "broker:9092", 50_000) is not None

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -178,6 +179,12 @@ def latest_orders(orders: DataFrame, n: int = 10) -> DataFrame:
     return orders.orderBy(F.col("created_at").desc(), F.col("order_id").desc()).limit(n)
 
 
+def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(table_name, rows) for each table."""
+    lines = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows") for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, lines)
+
+
 def sales_heatmap(orders: DataFrame, statuses: Sequence[str] | None = None) -> DataFrame:
     """Orders and value by weekday (1 is Sunday) and hour."""
     rows = orders if statuses is None else sold(orders, statuses)

@@ -257,10 +257,11 @@ def ml_session_features(sessions: DataFrame, min_length: int = 2) -> DataFrame:
     )
 
 
-def training_sequences(sessions: DataFrame, min_length: int = 2, max_items: int = 50) -> DataFrame:
-    """Item sequences without nulls, cut to the model's input window."""
+def training_sequences(sessions: DataFrame, min_length: int = 2, max_items: int = 50, limit: int | None = None) -> DataFrame:
+    """Item sequences without nulls, cut to the model's input window; ``limit`` asks for so many sessions only."""
     items = sessions.select("session_sk", "user_id", F.array_compact("product_sequence").alias("items"))
-    return items.where(F.size("items") >= min_length).withColumn("items", last_items("items", max_items))
+    out = items.where(F.size("items") >= min_length).withColumn("items", last_items("items", max_items))
+    return out if limit is None else out.limit(limit)
 
 
 def fraud_features(orders: DataFrame, users: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.operators.ranking import exact_percentile
+from tidewater.operators.ranking import exact_percentile, top_per_group
 from tidewater.session import pin
 
 _NODE = "tree int, node int, feature int, cut double, path double"
@@ -46,19 +46,24 @@ def _grow(x: np.ndarray, rng: np.random.Generator, depth: int, limit: int, node:
 
 
 def _samples(df: DataFrame, key: str, vector: Column, trees: int, sample: int, seed: int) -> DataFrame:
-    """(tree, x) rows. A row's hash places it in one tree per round; rounds repeat while rows are few."""
+    """(tree, x) rows. A row's hash places it in one tree per round; rounds repeat while rows are few.
+
+    With a key per row a tree gets about ``sample`` rows. Should keys repeat, a
+    tree's sample is still held to twice that, taken by hash.
+    """
     n = df.agg(F.count(F.lit(1))).first()[0]
     per_round = max(1, n // sample)
     rounds = math.ceil(trees / per_round)
     unit = F.pmod(F.xxhash64(F.col(key), F.col("round"), F.lit(seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
     slot = F.floor(unit * F.lit(n / min(sample, max(n, 1)))).cast("int")
-    return (
+    placed = (
         df.select(key, vector.alias("x"), F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("round"))
         .withColumn("slot", slot)
         .where(F.col("slot") < per_round)
         .select((F.col("round") * per_round + F.col("slot")).alias("tree"), "x")
         .where(F.col("tree") < trees)
     )
+    return top_per_group(placed, ["tree"], [F.xxhash64("x"), F.col("x")], 2 * sample).select("tree", "x")
 
 
 def forest(df: DataFrame, key: str, features: Sequence[str], trees: int = 200, sample: int = 256, seed: int = 42) -> DataFrame:

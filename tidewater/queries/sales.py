@@ -155,6 +155,43 @@ def latest_orders(c):
     return D.latest_orders(c.orders().select("order_id", "user_id", "status", "total_amount", "created_at"))
 
 
+@query(
+    "table_counts",
+    sql(
+        "lines pays ev pmd rfmraw",
+        "SELECT 'order_lines' AS table_name, count(*) AS rows FROM lines UNION ALL SELECT 'payments', count(*) FROM pays "
+        "UNION ALL SELECT 'events', count(*) FROM ev UNION ALL SELECT 'product_metrics_daily', count(*) FROM pmd "
+        "UNION ALL SELECT 'customer_rfm', count(*) FROM rfmraw",
+    ),
+)
+def table_counts(c):
+    lines = c.order_lines()
+    return D.table_counts(
+        {
+            "order_lines": lines,
+            "payments": c.payments(),
+            "events": c.events(),
+            "product_metrics_daily": M.product_metrics_daily(lines, c.products()),
+            "customer_rfm": M.customer_rfm_raw(lines, as_of(c.orders())),
+        }
+    )
+
+
+@query(
+    "training_sequences",
+    sql(
+        "ev",
+        "SELECT session_sk, user_id, list_size AS items, last_item FROM (SELECT md5(user_id || '-' || session_num) AS session_sk, user_id, "
+        "CAST(least(count(*), 3) AS INTEGER) AS list_size, arg_max(product_id, (event_ts, event_id)) AS last_item, count(*) AS n "
+        "FROM numbered WHERE product_id IS NOT NULL GROUP BY user_id, session_num) WHERE n >= 2",
+        sessions_sql(720),
+    ),
+)
+def training_sequences(c):
+    sequences = FE.training_sequences(session_facts(c.events(), 720), max_items=3)
+    return sequences.select("session_sk", "user_id", F.size("items").alias("items"), F.element_at("items", -1).alias("last_item"))
+
+
 @query(
     "sales_heatmap",
     sql(

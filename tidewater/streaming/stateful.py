@@ -47,8 +47,11 @@ def stream_merge(
     """
 
     def merge(batch: DataFrame, _: int) -> None:
-        reduced = latest_per_key(batch, [key], [order_col])
-        merge_partitions(batch.sparkSession, path, reduced, key, order_col, partition_col)
+        reduced = latest_per_key(batch, [key], [order_col]).persist()  # read twice: touched days, rows
+        try:
+            merge_partitions(batch.sparkSession, path, reduced, key, order_col, partition_col)
+        finally:
+            reduced.unpersist()
 
     trigger = {"availableNow": True} if trigger_seconds is None else {"processingTime": f"{trigger_seconds} seconds"}
     return df.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(**trigger).start()
