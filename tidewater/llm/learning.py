@@ -16,7 +16,7 @@ TOKEN = re.compile(r"[^\W_]+|[^\w\s]+")
 #: Labelled rows that a model is fitted on, at most: those with the smallest hash of their id.
 SAMPLE = 20_000
 #: Words whose terms a task remembers.
-REMEMBER = 200_000
+REMEMBER = 500_000
 
 
 def _hash(term: str) -> int:
@@ -28,31 +28,39 @@ class Terms:
 
     Terms are its words, and with ``pairs`` the pairs of neighbouring words and,
     as one more term, a word that follows itself; with ``heads`` the first
-    letters of longer words, one term for each of those lengths.
+    letters of longer words, one term for each of those lengths. ``only``, a
+    flag per id, leaves out terms that a model gives no weight.
     """
 
-    def __init__(self, bits: int, pairs: bool = False, heads: tuple[int, ...] = ()):
-        self.mask, self.pairs, self.heads = np.uint64((1 << bits) - 1), pairs, heads
-        self.known: dict[str, list[int]] = {}
+    def __init__(self, bits: int, pairs: bool = False, heads: tuple[int, ...] = (), only: np.ndarray | None = None):
+        self.mask, self.pairs, self.heads = (1 << bits) - 1, pairs, heads
+        self.only = None if only is None else set(np.flatnonzero(only).tolist())
+        self.known: dict[str, tuple[int, ...]] = {}
 
-    def _of(self, word: str) -> list[int]:
+    def _of(self, word: str) -> tuple[int, ...]:
         if len(self.known) >= REMEMBER:
             self.known.clear()
-        found = self.known[word] = [_hash(word), *(_hash(f"{word[:n]}-") for n in self.heads if len(word) > n)]
+        ids = [_hash(word), *(_hash(f"{word[:n]}-") for n in self.heads if len(word) > n)]
+        if not self.pairs:
+            ids = [(h ^ h >> 15) & self.mask for h in ids]
+        found = self.known[word] = tuple(ids if self.only is None else (t for t in ids if t in self.only))
         return found
 
     def __call__(self, text: str) -> np.ndarray:
-        words = TOKEN.findall(text.lower())
-        known, of = self.known.get, self._of
+        words, known, of = TOKEN.findall(text.lower()), self.known, self._of
         if not self.pairs:
-            h = np.fromiter((t for w in set(words) for t in known(w) or of(w)), np.uint64)
-        else:
-            h = np.fromiter(((known(w) or of(w))[0] for w in words), np.uint64, len(words))
-        if self.pairs and len(h) > 1:
+            found = set()
+            for w in set(words):
+                ids = known[w] if w in known else of(w)
+                if ids:
+                    found.update(ids)
+            return np.sort(np.fromiter(found, np.int64, len(found)))
+        h = np.fromiter((known[w][0] if w in known else of(w)[0] for w in words), np.uint64, len(words))
+        if len(h) > 1:
             both = (h[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (h[1:] * np.uint64(0xC2B2AE3D27D4EB4F))
             both[h[:-1] == h[1:]] = 1
             h = np.concatenate([h, both ^ (both >> np.uint64(29))])
-        return np.unique((h ^ (h >> np.uint64(15))) & self.mask).astype(np.int64)
+        return np.unique((h ^ (h >> np.uint64(15))) & np.uint64(self.mask)).astype(np.int64)
 
 
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
