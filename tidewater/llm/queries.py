@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import exact_dedup, learning, line_dedup, mixing, quality, toxicity, warc
+from tidewater.llm import bpe, exact_dedup, learning, line_dedup, mixing, quality, simhash, toxicity, warc
 
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -20,6 +22,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(_table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     scored = quality.score_quality(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
@@ -31,6 +37,17 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.load_ranks(public_tokenizers.path(VOCABULARY))
+    coded = bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(coded, ranks).select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies", "part")
 
@@ -71,8 +88,10 @@ FROM placed GROUP BY doc_id
 
 _QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_simhash": op3_simhash,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_line_dedup": op5_line_dedup,
+    "op6_bpe": op6_bpe,
     "op7_mixing": op7_mixing,
     "op8_toxicity": op8_toxicity,
     "op10_warc": op10_warc,
