@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, exact_dedup, learning, line_dedup, mixing, quality, simhash, toxicity, warc
+from tidewater.llm import bpe, exact_dedup, learning, line_dedup, mixing, quality, simhash, sketch, substring_dedup, toxicity, warc
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,21 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = sketch.fingerprints(_table(spark, sf_dir, "documents"))
+    own, edited = F.col("sketch"), F.col("edited_sketch")
+    return done.select(
+        F.col("id").alias("doc_id"),
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        sketch.as_text(own).alias("fingerprint"),
+        sketch.as_text(edited).alias("edited_fingerprint"),
+        sketch.likeness(own, edited).alias("near_edited"),
+        sketch.likeness(own, F.col("next_sketch")).alias("near_next"),
+        sketch.containment(own, edited).alias("in_edited"),
+    )
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(_table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
 
@@ -58,6 +73,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(F.col("id").alias("doc_id"), learning.held_out(F.col("id"), toxicity.FOLDS, toxicity.FOLD).alias("held_out"), "score", "predicted")
 
 
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring_dedup.drop_repeated_passages(_table(spark, sf_dir, "documents"))
+    return done.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -88,12 +108,14 @@ FROM placed GROUP BY doc_id
 
 _QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_fingerprints": op2_fingerprints,
     "op3_simhash": op3_simhash,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_line_dedup": op5_line_dedup,
     "op6_bpe": op6_bpe,
     "op7_mixing": op7_mixing,
     "op8_toxicity": op8_toxicity,
+    "op9_passages": op9_passages,
     "op10_warc": op10_warc,
 }
 _SQL = {"op1_exact_dedup": _OP1_SQL, "op5_line_dedup": _OP5_SQL}
