@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 from collections.abc import Callable, Iterator
 from zlib import crc32
 
@@ -22,10 +23,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+import zstandard
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-from tidewater.llm.common import texts
+from tidewater.llm.common import in_blocks, texts, unpack
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -73,29 +74,42 @@ def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def _by_part(words: list[str], parts: int) -> list[list[bytes]]:
-    """The words' bytes, dealt by hash and sorted: the same order whenever the block is read."""
-    dealt: list[list[bytes]] = [[] for _ in range(parts)]
-    for w in words:
+#: A space splits the text if no blank is before it: the pattern takes it as the start of what follows, whatever comes before.
+GAP = re.compile(r"\s ")
+SPLIT = re.compile(r"(?<!\s) ")
+
+
+def _pieces(text: str) -> list[str]:
+    """The text at the spaces that split it; all but the first piece have lost the space they start with."""
+    return SPLIT.split(text) if text.startswith(" ") or GAP.search(text) else text.split(" ")
+
+
+def _by_part(words: list[str], parts: int) -> list[tuple[list[bytes], list[int]]]:
+    """The words' bytes and numbers, dealt by hash and sorted: the same order whenever the block is read."""
+    dealt: list[list[tuple[bytes, int]]] = [[] for _ in range(parts)]
+    for n, w in enumerate(words):
         raw = w.encode("utf-8", "surrogatepass")
-        dealt[crc32(raw) % parts].append(raw)
-    for some in dealt:
-        some.sort()
-    return dealt
+        dealt[crc32(raw) % parts].append((raw, n))
+    return [([w for w, _ in some], [n for _, n in some]) for some in map(sorted, dealt)]
 
 
 def _block_words(pattern: str, parts: int) -> Callable[[pa.Table], pa.Table]:
     def run(block: pa.Table) -> pa.Table:
-        find, seen = regex.compile(pattern).findall, set()
-        for t in block["text"]:
-            seen.update(find(t.as_py()))
+        find, pieces, seen = regex.compile(pattern).findall, set(), set()
+        for t in unpack(block)["text"]:
+            first, *rest = _pieces(t.as_py())
+            seen.update(find(first))
+            pieces.update(rest)
+        for piece in pieces:
+            seen.update(find(" " + piece))
+        shrink = zstandard.ZstdCompressor(level=3).compress
         number = block["block"][0].as_py()
-        dealt = [(i, some) for i, some in enumerate(_by_part(list(seen), parts)) if some]
+        dealt = [(i, some) for i, (some, _) in enumerate(_by_part(list(seen), parts)) if some]
         return pa.table({
             "part": pa.array([i for i, _ in dealt], pa.int32()),
             "block": pa.array([number] * len(dealt), pa.int32()),
-            "sizes": pa.array([np.array([len(w) for w in some], np.int32).tobytes() for _, some in dealt], pa.binary()),
-            "words": pa.array([b"".join(some) for _, some in dealt], pa.binary()),
+            "sizes": pa.array([shrink(np.array([len(w) for w in some], np.int32).tobytes()) for _, some in dealt], pa.binary()),
+            "words": pa.array([shrink(b"".join(some)) for _, some in dealt], pa.binary()),
         })
 
     return run
@@ -105,39 +119,50 @@ def _encode_part(ranks: dict[bytes, int]) -> Callable[[pa.Table], pa.Table]:
     def run(sent: pa.Table) -> pa.Table:
         known: dict[bytes, list[int]] = {}
         counts, ids = [], []
+        shrink, grow = zstandard.ZstdCompressor(level=3).compress, zstandard.ZstdDecompressor().decompress
         for sizes, words in zip(sent["sizes"], sent["words"], strict=True):
-            raw, at, of_block = words.as_py(), 0, []
-            for size in np.frombuffer(sizes.as_py(), np.int32).tolist():
+            raw, at, of_block = grow(words.as_py()), 0, []
+            for size in np.frombuffer(grow(sizes.as_py()), np.int32).tolist():
                 word = raw[at : at + size]
                 at += size
                 found = known.get(word)
                 if found is None:
                     found = known[word] = encode_word(word, ranks)
                 of_block.append(found)
-            counts.append(np.array([len(f) for f in of_block], np.int32).tobytes())
-            ids.append(np.array([i for f in of_block for i in f], np.int32).tobytes())
+            counts.append(shrink(np.array([len(f) for f in of_block], np.int32).tobytes()))
+            ids.append(shrink(np.array([i for f in of_block for i in f], np.int32).tobytes()))
         return pa.table({"block": sent["block"], "part": sent["part"], "counts": pa.array(counts, pa.binary()), "ids": pa.array(ids, pa.binary())})
 
     return run
 
 
 def _reassemble(pattern: str, parts: int, carried: list[str]) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    def run(docs: pa.Table, sent: pa.Table) -> pa.Table:
-        find, numbers, codes = regex.compile(pattern).findall, {}, []
+    def run(block: pa.Table, sent: pa.Table) -> pa.Table:
+        docs, grow = unpack(block), zstandard.ZstdDecompressor().decompress
+        find, numbers, known, codes = regex.compile(pattern).findall, {}, {}, []
+
+        def number(text: str) -> tuple[int, ...]:
+            return tuple(numbers.setdefault(w, len(numbers)) for w in find(text))
+
         for t in docs["text"]:
-            words = find(t.as_py())
-            codes.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int32, len(words)))
+            first, *rest = _pieces(t.as_py())
+            code = list(number(first))
+            for piece in rest:
+                found = known.get(piece)
+                if found is None:
+                    found = known[piece] = number(" " + piece)
+                code += found
+            codes.append(np.array(code, np.int32))
+        del known
         order = {p: i for i, p in enumerate(sent["part"].to_pylist())}
-        raw = {w.encode("utf-8", "surrogatepass"): n for w, n in numbers.items()}
         counts, starts, flat, base = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64), [], 0
-        for part, some in enumerate(_by_part(list(numbers), parts)):
-            if not some:
+        for part, (_, where) in enumerate(_by_part(list(numbers), parts)):
+            if not where:
                 continue
             row = order[part]
-            c = np.frombuffer(sent["counts"][row].as_py(), np.int32).astype(np.int64)
-            where = np.array([raw[w] for w in some])
+            c = np.frombuffer(grow(sent["counts"][row].as_py()), np.int32).astype(np.int64)
             counts[where], starts[where] = c, base + np.cumsum(c) - c
-            flat.append(np.frombuffer(sent["ids"][row].as_py(), np.int32))
+            flat.append(np.frombuffer(grow(sent["ids"][row].as_py()), np.int32))
             base += len(flat[-1])
         ids = np.concatenate(flat) if flat else np.empty(0, np.int32)
         sizes, values = [], []
@@ -162,9 +187,9 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     """
     base = texts(docs, id_col, text_col, **more)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = base.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(parts)).cast("int")).repartition("block")
+    placed = in_blocks(base, 2 * parts)  # a task takes its blocks one after the other
     packed = "part int, block int, sizes binary, words binary"
-    words = placed.select("block", "text").groupBy("block").applyInArrow(_block_words(pattern, parts), packed)
+    words = placed.groupBy("block").applyInArrow(_block_words(pattern, parts), packed)
     coded = words.groupBy("part").applyInArrow(_encode_part(ranks), "block int, part int, counts binary, ids binary")
     carried = [c for c in base.columns if c != "text"]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema if f.name != "text"), "ids array<int>"])

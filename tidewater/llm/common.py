@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +35,41 @@ def row_key(id_col: Column, text: Column) -> Column:
     return F.concat_ws(":", F.coalesce(id_col.cast("string"), F.lit("null")), F.md5(text))
 
 
+def with_text(rows: DataFrame, columns: list[str], text: Column) -> DataFrame:
+    """The columns of the struct ``row`` with another text, and n_chars, where there is one, to match."""
+    new = {"text": text, "n_chars": F.char_length(text).cast("long")}
+    changed = rows.select("row", *[new[c].alias(f"new_{c}") for c in ("text", "n_chars") if c in columns])
+    return changed.select(*[F.col(f"new_{c}").alias(c) if c in new else F.col("row")[c].alias(c) for c in columns])
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of each block as one compressed Arrow stream per batch."""
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    for b in batches:
+        rows = pa.Table.from_batches([b]).sort_by("block")
+        found = rows["block"].combine_chunks().value_counts()
+        at, blocks, packed = 0, [], []
+        for block, n in zip(found.field("values").to_pylist(), found.field("counts").to_pylist(), strict=True):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows.schema, options=options) as out:
+                out.write_table(rows.slice(at, n))
+            at += n
+            blocks.append(block)
+            packed.append(sink.getvalue().to_pybytes())
+        yield pa.RecordBatch.from_pydict({"block": pa.array(blocks, pa.int32()), "packed": pa.array(packed, pa.binary())})
+
+
+def in_blocks(base: DataFrame, blocks: int) -> DataFrame:
+    """(block, packed): the rows of ``base`` dealt into blocks by id and text, many to a row, so that the shuffle moves compressed text."""
+    placed = base.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int"))
+    return placed.mapInArrow(_pack, "block int, packed binary").repartition("block")
+
+
+def unpack(block: pa.Table) -> pa.Table:
+    """The rows of one block."""
+    return pa.concat_tables(pa.ipc.open_stream(p.as_buffer()).read_all() for p in block["packed"])
+
+
 def remove_path(df: DataFrame, path: str) -> None:
     """Delete a work folder in whatever store holds it."""
     jvm, sc = df.sparkSession._jvm, df.sparkSession.sparkContext
