@@ -43,18 +43,22 @@ class LineRuns:
         self.spark, self.buckets, self.fanout = like.sparkSession, buckets, fanout
         self.root, self.tag = work_dir(self.spark, "line-runs"), uuid.uuid4().hex[:12]
         self.levels: list[list[str]] = [[]]
-        self.made = 0
+        self.paths: dict[str, str] = {}
 
     def _write(self, lines: DataFrame) -> str:
-        self.made += 1
-        name = f"line_run_{self.tag}_{self.made}"
+        name = f"line_run_{self.tag}_{len(self.paths)}"
+        self.paths[name] = f"{self.root}/{name}"
         spread = lines.repartition(self.buckets, "line")
-        spread.write.bucketBy(self.buckets, "line").sortBy("line").option("path", f"{self.root}/{self.made}").saveAsTable(name)
+        spread.write.bucketBy(self.buckets, "line").sortBy("line").option("path", self.paths[name]).saveAsTable(name)
         return name
 
     def runs(self) -> list[DataFrame]:
         return [self.spark.table(name) for level in self.levels for name in level]
 
+    def files(self) -> list[DataFrame]:
+        """The runs without their buckets: a join then shuffles both sides, and may split a line that a third of all documents hold."""
+        return [self.spark.read.parquet(self.paths[name]) for level in self.levels for name in level]
+
     def add(self, lines: DataFrame) -> None:
         """Add a batch of (line, owner); lines that a run holds already are left out."""
         firsts = lines.groupBy("line").agg(F.min("owner").alias("owner"))
@@ -96,7 +100,7 @@ def repeated_lines(base: DataFrame, batches: int, min_chars: int) -> DataFrame:
     index = LineRuns(base, int(spark.conf.get("spark.sql.shuffle.partitions")))
     for b in range(len(set(cuts)) + 1):
         index.add(stored.where(F.col("batch") == b).select("line", F.col("id").alias("owner")))
-    hits = [stored.join(run, "line").where("owner < id").select("key", "at") for run in index.runs()]
+    hits = [stored.join(run, "line").where("owner < id").select("key", "at") for run in index.files()]
     drops = pin(reduce(DataFrame.unionByName, hits).groupBy("key").agg(F.collect_set("at").alias("drop")))
     index.close(base)
     remove_path(base, path)
