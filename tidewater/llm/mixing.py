@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import NOT_BLANK, texts, word_count
+from tidewater.llm.common import NOT_BLANK, row_key, texts, with_text, word_count
 from tidewater.session import pin
 
 #: Documents in a block of the reduction tree, on average.
@@ -106,24 +106,29 @@ def pivotal(items: DataFrame, seed: int = SEED, block: int = BLOCK) -> DataFrame
     return out
 
 
+def mix_key(id_col: Column, text: Column, source: Column) -> Column:
+    """What only rows share that are equal in id, text and source."""
+    return F.concat_ws(":", row_key(id_col, text), F.md5(F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit(""))))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, budget: float = BUDGET, cap: float = CAP, seed: int = SEED) -> DataFrame:
-    """One row per row of ``docs``: key, doc_id, source, size, source_size, target, copies, part, taken.
+    """One row per row of ``docs``: key, nth, doc_id, source, size, source_size, target, copies, part, taken.
 
     ``copies`` is how often the whole document is taken and ``part`` the number
     of its first words taken beside that, not 0 for one document of a source
-    at most; ``taken`` is the sum in words. ``key`` tells equal rows from others.
+    at most; ``taken`` is the sum in words. ``key`` is what equal rows share, ``nth`` tells them apart.
     Sources add up to their targets within a word. A null text has size 0 and
     gives nothing, a null source is a source, null ids are ordinary. Equal rows
     (id, text, source) are told apart by number; which of them is taken more
     often is immaterial. Same input and seed, same result. An empty table gives
     no rows.
     """
-    base = texts(docs, id_col, text_col, source=F.col(source_col))
-    sized = base.select("id", "source", word_count(F.col("text")).alias("size"), F.md5("text").alias("digest"))
-    # a number for rows that repeat id, source and text; one row per group elsewhere
-    groups = pin(sized.groupBy("id", "source", "size", "digest").agg(F.count("*").alias("rows")))
+    base = texts(docs, id_col, text_col, source=docs[source_col])
+    sized = base.select("id", "source", mix_key(F.col("id"), F.col("text"), F.col("source")).alias("same"), word_count(F.col("text")).alias("size"))
+    # equal rows are numbered, so that they round apart
+    groups = pin(sized.groupBy("same", "id", "source", "size").agg(F.count("*").alias("rows")))
     each = groups.select("*", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("nth"))
-    keyed = each.select(F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("null")), "digest", F.md5(F.coalesce("source", F.lit("\u0000"))), F.col("nth").cast("string")).alias("key"), "id", "source", "size")
+    keyed = each.select("same", "nth", F.concat_ws(":", "same", F.col("nth").cast("string")).alias("key"), "id", "source", "size")
     targets = pin(source_targets(keyed, weights, budget, cap)).withColumnRenamed("source", "of")
     shared = keyed.join(targets, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     times = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -134,9 +139,22 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     full = F.col("bit") >= 1 - 1e-12
     copies = (F.col("whole") + F.when(full, 1).otherwise(0)).cast("int")
     part = F.when(full, 0).otherwise(F.round(F.col("bit") * F.col("size"))).cast("long")
-    return done.select("key", F.col("id").alias("doc_id"), "source", "size", "source_size", "target", copies.alias("copies"), part.alias("part")).withColumn("taken", F.col("copies") * F.col("size") + F.col("part"))
+    return done.select(F.col("same").alias("key"), "nth", F.col("id").alias("doc_id"), "source", "size", "source_size", "target", copies.alias("copies"), part.alias("part")).withColumn("taken", F.col("copies") * F.col("size") + F.col("part"))
 
 
 def first_words(text: Column, n: Column) -> Column:
     """The text up to the end of its ``n``-th word."""
     return F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + NOT_BLANK + "+"), F.lit(0)), F.lit(1), n.cast("int")), "")
+
+
+def taken_rows(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` as often as ``mix`` takes them; one row per source at most with its first words only."""
+    amounts = mix(docs, **options).groupBy("key").agg(F.sum("copies").cast("int").alias("copies"), F.sum("part").alias("part"))
+    text = F.coalesce(docs["text"], F.lit(""))
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), mix_key(docs["doc_id"].cast("long"), text, docs["source"]).alias("key"))
+    # equal rows were added up, so one of them stands for all
+    met = packed.join(amounts.where("copies > 0 OR part > 0"), "key").dropDuplicates(["key"])
+    whole = F.array_repeat(F.lit(-1).cast("long"), F.col("copies"))
+    each = met.select("row", F.explode(F.when(F.col("part") > 0, F.concat(whole, F.array("part"))).otherwise(whole)).alias("words"))
+    cut = F.when(F.col("words") < 0, F.col("row.text")).otherwise(first_words(F.col("row.text"), F.col("words")))
+    return with_text(each, docs.columns, cut)
