@@ -26,7 +26,7 @@ import regex
 import zstandard
 from pyspark.sql import Column, DataFrame
 
-from tidewater.llm.common import in_blocks, texts, unpack
+from tidewater.llm.common import frugal, in_blocks, texts, unpack
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -187,13 +187,13 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     """
     base = texts(docs, id_col, text_col, **more)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = in_blocks(base, 2 * parts)  # a task takes its blocks one after the other
+    placed = in_blocks(base, 3 * parts)  # a task takes its blocks one after the other
     packed = "part int, block int, sizes binary, words binary"
-    words = placed.groupBy("block").applyInArrow(_block_words(pattern, parts), packed)
-    coded = words.groupBy("part").applyInArrow(_encode_part(ranks), "block int, part int, counts binary, ids binary")
+    words = placed.groupBy("block").applyInArrow(frugal(_block_words(pattern, parts)), packed)
+    coded = words.groupBy("part").applyInArrow(frugal(_encode_part(ranks)), "block int, part int, counts binary, ids binary")
     carried = [c for c in base.columns if c != "text"]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema if f.name != "text"), "ids array<int>"])
-    return placed.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(_reassemble(pattern, parts, carried), schema)
+    return placed.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(frugal(_reassemble(pattern, parts, carried)), schema)
 
 
 def decode(coded: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids") -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from contextlib import suppress
+from inspect import signature
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -70,6 +73,33 @@ def unpack(block: pa.Table) -> pa.Table:
     return pa.concat_tables(pa.ipc.open_stream(p.as_buffer()).read_all() for p in block["packed"])
 
 
+def release() -> None:
+    """Give freed memory back to the system: a worker serves many blocks and would keep what the largest one needed."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def frugal(f: Callable[..., pa.Table]) -> Callable[..., pa.Table]:
+    """A block function that releases memory before and after its work."""
+
+    def one(a: pa.Table) -> pa.Table:
+        release()
+        try:
+            return f(a)
+        finally:
+            release()
+
+    def two(a: pa.Table, b: pa.Table) -> pa.Table:
+        release()
+        try:
+            return f(a, b)
+        finally:
+            release()
+
+    return two if len(signature(f).parameters) == 2 else one
+
+
 def remove_path(df: DataFrame, path: str) -> None:
     """Delete a work folder in whatever store holds it."""
     jvm, sc = df.sparkSession._jvm, df.sparkSession.sparkContext

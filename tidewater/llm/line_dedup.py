@@ -57,7 +57,7 @@ class LineRuns:
 
     def files(self) -> list[DataFrame]:
         """The runs without their buckets: a join then shuffles both sides, and may split a line that a third of all documents hold."""
-        return [self.spark.read.parquet(self.paths[name]) for level in self.levels for name in level]
+        return [self.spark.read.schema("line binary, owner long").parquet(self.paths[name]) for level in self.levels for name in level]
 
     def add(self, lines: DataFrame) -> None:
         """Add a batch of (line, owner); lines that a run holds already are left out."""

@@ -107,6 +107,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int
         yield pa.RecordBatch.from_pydict({"weights": pa.array([parts[0]], pa.binary()), "squares": pa.array([parts[1]], pa.binary()), "bias": [bias], "slope": [slope], "shift": [shift]})
 
     got = rows.repartition(1).sortWithinPartitions("turn", "id").mapInArrow(run, "weights binary, squares binary, bias double, slope double, shift double").first()
+    if got is None:  # no labelled row at all, so no task had anything to fit
+        ratios, w, bias, slope, shift = fit([], np.empty(0, np.int64))
+        return SupportVectors(w * ratios, ratios**2, bias, slope, shift)
     return SupportVectors(np.frombuffer(bytes(got.weights), np.float32), np.frombuffer(bytes(got.squares), np.float32), got.bias, got.slope, got.shift)
 
 

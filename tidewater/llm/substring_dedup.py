@@ -30,15 +30,14 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tidewater.llm.common import texts
+from tidewater.llm.common import frugal, in_blocks, texts, unpack
 
 SIZE, GRAM = 50, 16
 WINDOW = SIZE - GRAM + 1
 BEFORE = WINDOW - 1
 #: Bytes of a block that are searched for anchors at once.
-STRETCH = 1 << 21
+STRETCH = 1 << 20
 #: Stands for a null id, so that it comes after all others.
 LAST_ID = 2**63 - 1
 MULT = 0x9E3779B97F4A7C15
@@ -65,32 +64,31 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     h *= np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(32)
     rank = (h >> np.uint64(32)).astype(np.uint32)
-    across = (ends[:-1, None] - np.arange(1, GRAM)).ravel()  # these run into the next document
-    across = across[across >= 0]
-    rank[across[across < len(rank)]] = np.iinfo(np.uint32).max
     if len(rank) < WINDOW:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     least = _rolling(rank, WINDOW, np.minimum)
+    across = (ends[:-1, None] - np.arange(1, SIZE)).ravel()  # strings that run into the next document have no anchor
+    least[across[(across >= 0) & (across < len(least))]] = 0
     pad = np.zeros(WINDOW - 1, np.uint32)
     chosen = rank == _rolling(np.concatenate([pad, least, pad]), WINDOW, np.maximum)
-    chosen[across[across < len(rank)]] = False
     spots = np.flatnonzero(chosen)
     return spots, h[spots] >> np.uint64(1)
 
 
 class Block:
-    """The documents of one block, by id, as bytes in a row, and the anchors in them."""
-
-    def __init__(self, docs: pa.Table):
-        ids = [LAST_ID if i is None else i for i in docs["id"].to_pylist()]
-        raw = [t.as_py().encode("utf-8", "surrogatepass") for t in docs["text"]]
-        self.order = sorted(range(len(ids)), key=lambda i: (ids[i], raw[i]))
-        self.ids = np.array([ids[i] for i in self.order], np.int64)
-        self.data = np.frombuffer(b"".join(raw[i] for i in self.order), np.uint8)
-        self.ends = np.cumsum([len(raw[i]) for i in self.order]).astype(np.int64)
-        self.starts = self.ends - np.array([len(raw[i]) for i in self.order], np.int64)
+    """The documents of one block as bytes in a row, and the anchors in them."""
+
+    def __init__(self, packed: pa.Table):
+        self.docs = unpack(packed)
+        self.number = packed["block"][0].as_py()
+        self.ids = self.docs["id"].fill_null(LAST_ID).to_numpy()
+        text = self.docs["text"].combine_chunks().cast(pa.binary())
+        text = text.chunk(0) if isinstance(text, pa.ChunkedArray) else text
+        offsets = np.frombuffer(text.buffers()[1], np.int32)[text.offset : text.offset + len(text) + 1].astype(np.int64)
+        self.data = np.frombuffer(text.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+        self.starts, self.ends = offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
         spots, hashes, first = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], 0
-        while first < len(ids):
+        while first < len(self.ids):
             last = max(int(np.searchsorted(self.ends, self.starts[first] + STRETCH, side="right")), first + 1)
             lo, hi = self.starts[first], self.ends[last - 1]
             s, h = anchors(self.data[lo:hi], self.ends[first:last] - lo)
@@ -166,8 +164,9 @@ def _unsqueeze(width: bytes, packed: bytes) -> np.ndarray:
 
 def _send_hashes(parts: int) -> Callable[[pa.Table], pa.Table]:
     def run(docs: pa.Table) -> pa.Table:
-        h, several, _ = Block(docs).distinct()
-        block, cuts = docs["block"][0].as_py(), np.searchsorted(_part_of(h, parts), np.arange(parts + 1))
+        found = Block(docs)
+        h, several, _ = found.distinct()
+        block, cuts = found.number, np.searchsorted(_part_of(h, parts), np.arange(parts + 1))
         return _pack([(p, block, 0, *_squeeze(h[lo:hi]), np.packbits(several[lo:hi]).tobytes(), b"", b"") for p, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if hi > lo])
 
     return run
@@ -219,9 +218,10 @@ def _send_runs(parts: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         starts = np.searchsorted(sorted_number, np.arange(len(rows)))
         least = np.minimum.reduceat(ids, starts)
         several = least != np.maximum.reduceat(ids, starts)
-        part, n = _part_of(hashes, parts), docs["block"][0].as_py()
+        part, n = _part_of(hashes, parts), block.number
         by_part = np.argsort(part, kind="stable")
         cuts = np.searchsorted(part[by_part], np.arange(parts + 1))
+        shrink = zstandard.ZstdCompressor(level=1).compress
         for p in range(parts):
             own = by_part[cuts[p] : cuts[p + 1]]
             if not len(own):
@@ -237,7 +237,6 @@ def _send_runs(parts: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
             members = np.diff(np.append(np.flatnonzero(new), len(own))).astype(np.int32)
             before = mine[:, SIZE + 1 :].copy()
             before[:, -1] |= several[own].astype(np.uint8) << 7
-            shrink = zstandard.ZstdCompressor(level=1).compress
             out.append((p, n, 1, shrink(heads.tobytes()), shrink(rest.tobytes()), shrink(members.tobytes()), shrink(before.tobytes()), shrink(least[own].tobytes())))
         return _pack(out)
 
@@ -337,7 +336,9 @@ def _merge_part(sent: pa.Table) -> pa.Table:
     bare[:, -1] = left
     keys, turn = _ranked(bare)
     left_common = _common(keys[:, :BEFORE], keys[:, -1].astype(np.int64))
-    smallest = np.full((WINDOW, len(ids)), LAST_ID, np.int64)
+    every, ids = np.unique(ids, return_inverse=True)  # ids by rank from here on, half the memory
+    ids, none = ids.astype(np.int32), len(every)
+    smallest = np.full((WINDOW, len(ids)), none, np.int32)
     for t in range(WINDOW):
         group = np.cumsum(common < SIZE - t)[places] * (len(keys) + 1) + np.cumsum(left_common < t)[turn]
         by = np.argsort(group, kind="stable")
@@ -345,8 +346,8 @@ def _merge_part(sent: pa.Table) -> pa.Table:
         low = np.minimum.reduceat(ids[by], starts)
         smallest[t, by] = np.repeat(low, np.diff(np.append(starts, len(ids))))
         there = (t <= left) & (SIZE - t <= right) & (several | (smallest[t] < ids))
-        smallest[t, ~there] = LAST_ID
-    said = smallest < LAST_ID
+        smallest[t, ~there] = none
+    said = smallest < none
     change = np.ones((WINDOW + 1, len(ids)), bool)
     change[1:-1] = smallest[1:] != smallest[:-1]
     first = change[:-1] & said
@@ -359,7 +360,7 @@ def _merge_part(sent: pa.Table) -> pa.Table:
     for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
         if b > a:
             w = who[a:b]
-            rows.append((part, blocks[r], 2, shrink(nth[w].astype(np.int32).tobytes()), shrink(np.stack([lo[a:b], hi[a:b]], axis=1).astype(np.uint8).tobytes()), shrink(smallest[lo[a:b], w].tobytes()), b"", b""))
+            rows.append((part, blocks[r], 2, shrink(nth[w].astype(np.int32).tobytes()), shrink(np.stack([lo[a:b], hi[a:b]], axis=1).astype(np.uint8).tobytes()), shrink(every[smallest[lo[a:b], w]].tobytes()), b"", b""))
     return _pack(rows)
 
 
@@ -373,6 +374,18 @@ def _ranked(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ordered[new], turn
 
 
+def _covered(spans: np.ndarray, n: int) -> np.ndarray:
+    """Flags of the places that lie in a span."""
+    gone = np.zeros(n, bool)
+    if len(spans):
+        spans = spans[np.argsort(spans[:, 0], kind="stable")]
+        reach = np.maximum.accumulate(spans[:, 1])
+        first = np.flatnonzero(np.concatenate([[True], spans[1:, 0] > reach[:-1]]))
+        for lo, hi in zip(spans[first, 0].tolist(), reach[np.append(first[1:], len(spans)) - 1].tolist(), strict=True):
+            gone[lo:hi] = True
+    return gone
+
+
 def _remove(parts: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     names = ["id", "n_bytes", "n_removed", "n_spans", "kept"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
@@ -381,7 +394,7 @@ def _remove(parts: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         if not docs.num_rows:
             return pa.table([pa.array([], k) for k in kinds], names)
         block = _repeated_anchors(docs, sent)
-        step = np.zeros(len(block.data) + 1, np.int32)
+        spans = [np.empty((0, 2), np.int64)]
         rows, number, hashes, order = block.contexts()
         by_part = np.argsort(_part_of(hashes, parts), kind="stable")
         cuts = np.searchsorted(_part_of(hashes, parts)[by_part], np.arange(parts + 1))
@@ -398,16 +411,14 @@ def _remove(parts: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
             lo, hi, first = (np.repeat(x, many) for x in (offsets[:, 0], offsets[:, 1], holder))
             later = block.ids[block.doc[member]] > first
             spot = block.spots[member][later]
-            np.add.at(step, spot - hi[later], 1)
-            np.add.at(step, spot - lo[later] + SIZE, -1)
-        gone = np.cumsum(step[:-1], dtype=np.int32) > 0
-        out: list[tuple | None] = [None] * docs.num_rows
-        for i, (lo, hi) in enumerate(zip(block.starts.tolist(), block.ends.tolist(), strict=True)):
-            mask = gone[lo:hi]
+            spans.append(np.stack([spot - hi[later], spot - lo[later] + SIZE], axis=1))
+        gone = _covered(np.concatenate(spans), len(block.data))
+        out = []
+        for i, lo, hi in zip(block.docs["id"].to_pylist(), block.starts.tolist(), block.ends.tolist(), strict=True):
+            mask, whole = gone[lo:hi], block.data[lo:hi]
             removed = int(mask.sum())
-            spans = int(mask[0]) + int((mask[1:] & ~mask[:-1]).sum()) if removed else 0
-            whole = block.data[lo:hi]
-            out[block.order[i]] = (docs["id"][block.order[i]].as_py(), hi - lo, removed, spans, (whole[~mask] if removed else whole).tobytes())
+            runs = int(mask[0]) + int((mask[1:] & ~mask[:-1]).sum()) if removed else 0
+            out.append((i, hi - lo, removed, runs, (whole[~mask] if removed else whole).tobytes()))
         return pa.table([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
     return run
@@ -423,12 +434,12 @@ def drop_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: st
     don't take bytes from each other. An empty table gives no rows.
     """
     base = texts(docs, id_col, text_col)
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = base.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(parts)).cast("int")).repartition("block")
-    by_block = placed.groupBy("block")
-    hashes = by_block.applyInArrow(_send_hashes(parts), PACKED)
-    repeated = hashes.groupBy("part").applyInArrow(_find_repeated, PACKED)
-    runs = by_block.cogroup(repeated.groupBy("block")).applyInArrow(_send_runs(parts), PACKED)
-    answers = runs.groupBy("part").applyInArrow(_merge_part, PACKED)
+    # a task takes its blocks and parts one after the other
+    blocks = parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_block = in_blocks(base, blocks).groupBy("block")
+    hashes = by_block.applyInArrow(frugal(_send_hashes(parts)), PACKED)
+    repeated = hashes.groupBy("part").applyInArrow(frugal(_find_repeated), PACKED)
+    runs = by_block.cogroup(repeated.groupBy("block")).applyInArrow(frugal(_send_runs(parts)), PACKED)
+    answers = runs.groupBy("part").applyInArrow(frugal(_merge_part), PACKED)
     back = repeated.unionByName(answers)
-    return by_block.cogroup(back.groupBy("block")).applyInArrow(_remove(parts), "id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return by_block.cogroup(back.groupBy("block")).applyInArrow(frugal(_remove(parts)), "id long, n_bytes long, n_removed long, n_spans long, kept binary")

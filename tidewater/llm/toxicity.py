@@ -110,6 +110,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
         yield pa.RecordBatch.from_pydict({"linear": pa.array([m.linear.astype(np.float32).tobytes()], pa.binary()), "factors": pa.array([m.factors.astype(np.float32).tobytes()], pa.binary()), "bias": [m.bias], "slope": [m.slope], "shift": [m.shift]})
 
     got = rows.repartition(1).sortWithinPartitions("turn", "id").mapInArrow(run, "linear binary, factors binary, bias double, slope double, shift double").first()
+    if got is None:  # no labelled row at all, so no task had anything to fit
+        return fit([], np.empty(0, np.int64))
     factors = np.frombuffer(bytes(got.factors), np.float32).reshape(-1, FACTORS)
     return FactorMachine(np.frombuffer(bytes(got.linear), np.float32), factors, got.bias, got.slope, got.shift)
 
