@@ -38,6 +38,8 @@ WINDOW = SIZE - GRAM + 1
 BEFORE = WINDOW - 1
 #: Bytes of a block that are searched for anchors at once.
 STRETCH = 1 << 20
+#: Entries whose answers are laid out at once.
+SLICE = 1 << 15
 #: Stands for a null id, so that it comes after all others.
 LAST_ID = 2**63 - 1
 MULT = 0x9E3779B97F4A7C15
@@ -72,7 +74,10 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     pad = np.zeros(WINDOW - 1, np.uint32)
     chosen = rank == _rolling(np.concatenate([pad, least, pad]), WINDOW, np.maximum)
     spots = np.flatnonzero(chosen)
-    return spots, h[spots] >> np.uint64(1)
+    # mixed anew, since anchors are where the upper bits are small, and parts go by the upper bits
+    mixed = (h[spots] ^ h[spots] >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = (mixed ^ mixed >> np.uint64(32)) * np.uint64(0x94D049BB133111EB)
+    return spots, mixed >> np.uint64(1)
 
 
 class Block:
@@ -324,9 +329,10 @@ def _merge_part(sent: pa.Table) -> pa.Table:
         befores.append(np.frombuffer(grow(row["d"]), np.uint8).reshape(-1, BEFORE + 1))
         least.append(np.frombuffer(grow(row["e"]), np.int64))
     order, common = merge_runs(runs, commons)
-    order, common = np.array(order), np.array(common)
+    del runs, commons
+    order, common = np.array(order, np.int32), np.array(common, np.int32)
     places = np.concatenate([np.repeat(np.flatnonzero(order == r), m) for r, m in enumerate(members)])
-    owner = np.repeat(np.arange(len(runs)), [len(b) for b in befores])
+    owner = np.repeat(np.arange(len(befores)), [len(b) for b in befores])
     nth = np.concatenate([np.arange(len(b)) for b in befores])
     before, ids = np.concatenate(befores), np.concatenate(least)
     several, left = before[:, -1] >> 7 == 1, (before[:, -1] & 127).astype(np.int64)
@@ -347,13 +353,15 @@ def _merge_part(sent: pa.Table) -> pa.Table:
         smallest[t, by] = np.repeat(low, np.diff(np.append(starts, len(ids))))
         there = (t <= left) & (SIZE - t <= right) & (several | (smallest[t] < ids))
         smallest[t, ~there] = none
-    said = smallest < none
-    change = np.ones((WINDOW + 1, len(ids)), bool)
-    change[1:-1] = smallest[1:] != smallest[:-1]
-    first = change[:-1] & said
-    who, lo = np.nonzero(first.T)
-    last = change[1:] & said
-    _, hi = np.nonzero(last.T)
+    found = []
+    for i in range(0, len(ids), SLICE):
+        some = smallest[:, i : i + SLICE]
+        change = np.ones((WINDOW + 1, some.shape[1]), bool)
+        change[1:-1] = some[1:] != some[:-1]
+        entry, lo = np.nonzero((change[:-1] & (some < none)).T)
+        _, hi = np.nonzero((change[1:] & (some < none)).T)
+        found.append(np.stack([entry + i, lo, hi]))
+    who, lo, hi = np.concatenate(found, axis=1)
     rows, part = [], sent["part"][0].as_py()
     shrink = zstandard.ZstdCompressor(level=1).compress
     cuts = np.searchsorted(owner[who], np.arange(len(blocks) + 1))
@@ -435,7 +443,8 @@ def drop_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: st
     """
     base = texts(docs, id_col, text_col)
     # a task takes its blocks and parts one after the other
-    blocks = parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = 2 * blocks
     by_block = in_blocks(base, blocks).groupBy("block")
     hashes = by_block.applyInArrow(frugal(_send_hashes(parts)), PACKED)
     repeated = hashes.groupBy("part").applyInArrow(frugal(_find_repeated), PACKED)
