@@ -138,11 +138,16 @@ def ranks():
     return bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
-def test_bpe_equals_the_library(spark, docs, empty, ranks):
+#: Text per block for many blocks, and for one.
+BLOCKS = [sum(len((r[1] or "").encode()) for r in ROWS) // 16, 1 << 22]
+
+
+@pytest.mark.parametrize("block_bytes", BLOCKS)
+def test_bpe_equals_the_library(spark, docs, empty, ranks, block_bytes):
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     odd = ["a  b \n c\n\n  d ", " lead", "tail ", "don't 'llx", "a\x1cb \x1c c\x85 d", "".join(f"x{chr(c)} y" for c in range(0x3100) if not 0xD800 <= c < 0xE000)]
     more = spark.createDataFrame([(100 + i, t) for i, t in enumerate(odd)], "doc_id long, text string")
-    got = bpe.decode(bpe.encode(docs.select("doc_id", "text").unionByName(more), ranks, public_tokenizers.PATTERN), ranks).collect()
+    got = bpe.decode(bpe.encode(docs.select("doc_id", "text").unionByName(more), ranks, public_tokenizers.PATTERN, block_bytes=block_bytes), ranks).collect()
     want = [(i, library.encode_ordinary(t or ""), (t or "").encode()) for i, t in [(r[0], r[1]) for r in ROWS] + [(100 + i, t) for i, t in enumerate(odd)]]
     same([(r.id, list(r.ids), bytes(r.decoded)) for r in got], want)
     assert bpe.encode(empty, ranks, public_tokenizers.PATTERN).count() == 0
@@ -178,7 +183,8 @@ def test_targets_share_the_excess_again(spark):
     assert got == {"a": 20, None: 800, "c": 1000, "b": pytest.approx(1045)}
 
 
-def test_passages(docs, empty):
+@pytest.mark.parametrize("block_bytes", BLOCKS)
+def test_passages(docs, empty, block_bytes):
     big = 2**63 - 1
     first = {}
     for i, t, *_ in ROWS:
@@ -193,7 +199,7 @@ def test_passages(docs, empty):
                 gone.update(range(p, p + 50))
         spans = sum(p - 1 not in gone for p in gone)
         want.append((i, len(raw), len(gone), spans, bytes(b for p, b in enumerate(raw) if p not in gone)))
-    got = substring_dedup.drop_repeated_passages(docs).collect()
+    got = substring_dedup.drop_repeated_passages(docs, block_bytes=block_bytes).collect()
     same([(r.id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got], want)
     assert substring_dedup.drop_repeated_passages(empty).count() == 0
 

@@ -26,7 +26,7 @@ import regex
 import zstandard
 from pyspark.sql import Column, DataFrame
 
-from tidewater.llm.common import frugal, in_blocks, texts, unpack
+from tidewater.llm.common import BLOCK_BYTES, block_count, frugal, in_blocks, texts, unpack
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -178,16 +178,21 @@ def _reassemble(pattern: str, parts: int, carried: list[str]) -> Callable[[pa.Ta
     return run
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", **more: Column) -> DataFrame:
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, **more: Column) -> DataFrame:
     """(id, ids, ...) for every row of ``docs``: the token ids of its whole text.
 
     Each match of ``pattern`` is encoded on its own, special tokens don't exist.
     A null or empty text has no ids. Rows with null or repeated ids are rows
     like any other. An empty table gives no rows.
+
+    Blocks hold about ``block_bytes`` of text, and there is one part for three
+    blocks, whatever the shuffle setting: their number follows the size of the
+    texts, which are read once more for it.
     """
     base = texts(docs, id_col, text_col, **more)
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = in_blocks(base, 3 * parts)  # a task takes its blocks one after the other
+    blocks = block_count(base, block_bytes)
+    parts = -(-blocks // 3)
+    placed = in_blocks(base, blocks)
     packed = "part int, block int, sizes binary, words binary"
     words = placed.groupBy("block").applyInArrow(frugal(_block_words(pattern, parts)), packed)
     coded = words.groupBy("part").applyInArrow(frugal(_encode_part(ranks)), "block int, part int, counts binary, ids binary")

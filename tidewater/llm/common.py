@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import math
 from collections.abc import Callable, Iterator
 from contextlib import suppress
 from inspect import signature
@@ -16,6 +17,8 @@ BLANKS = " \t\n\x0b\x0c\r"
 BLANK = r"[\x20\x09-\x0D]"
 NOT_BLANK = r"[^\x20\x09-\x0D]"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Text that a block of documents should hold; one document is never cut.
+BLOCK_BYTES = 4 << 20
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more: Column) -> DataFrame:
@@ -68,6 +71,12 @@ def in_blocks(base: DataFrame, blocks: int) -> DataFrame:
     return placed.mapInArrow(_pack, "block int, packed binary").repartition("block")
 
 
+def block_count(base: DataFrame, block_bytes: int) -> int:
+    """How many blocks of about ``block_bytes`` the texts make; reads them once, one number comes to the driver."""
+    size = base.agg(F.sum(F.octet_length("text").cast("long"))).first()[0]
+    return max(math.ceil((size or 0) / block_bytes), 1)
+
+
 def unpack(block: pa.Table) -> pa.Table:
     """The rows of one block."""
     return pa.concat_tables(pa.ipc.open_stream(p.as_buffer()).read_all() for p in block["packed"])
