@@ -31,7 +31,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from tidewater.llm.common import frugal, in_blocks, texts, unpack
+from tidewater.llm.common import BLOCK_BYTES, block_count, frugal, in_blocks, texts, unpack
 
 SIZE, GRAM = 50, 16
 WINDOW = SIZE - GRAM + 1
@@ -432,7 +432,7 @@ def _remove(parts: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     return run
 
 
-def drop_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per row of ``docs``: id, n_bytes, n_removed, n_spans, kept (the bytes that stay).
 
     Removed is each byte of the UTF-8 text that lies in a 50-byte string which
@@ -440,10 +440,13 @@ def drop_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: st
     document into the next, and are judged on the input. A null text is empty.
     A null id is larger than all others; rows with the same id, null or not,
     don't take bytes from each other. An empty table gives no rows.
+
+    Blocks hold about ``block_bytes`` of text, and there are two parts a block,
+    whatever the shuffle setting: their number follows the size of the texts,
+    which are read once more for it.
     """
     base = texts(docs, id_col, text_col)
-    # a task takes its blocks and parts one after the other
-    blocks = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = block_count(base, block_bytes)
     parts = 2 * blocks
     by_block = in_blocks(base, blocks).groupBy("block")
     hashes = by_block.applyInArrow(frugal(_send_hashes(parts)), PACKED)
