@@ -55,7 +55,7 @@ def _samples(df: DataFrame, key: str, vector: Column, trees: int, sample: int, s
     per_round = max(1, n // sample)
     rounds = math.ceil(trees / per_round)
     unit = F.pmod(F.xxhash64(F.col(key), F.col("round"), F.lit(seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    slot = F.floor(unit * F.lit(n / min(sample, max(n, 1)))).cast("int")
+    slot = F.floor(unit * F.lit(n / min(sample, max(n, 1)))).cast("bigint")
     placed = (
         df.select(key, vector.alias("x"), F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("round"))
         .withColumn("slot", slot)

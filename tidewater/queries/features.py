@@ -224,7 +224,7 @@ def ml_user_features(c):
         "CAST(coalesce(o, 0) AS BIGINT) AS total_orders_30d, round(coalesce(r, 0), 2) AS total_revenue_30d, "
         "round(coalesce(v, 0) + 1e-9, 6) AS avg_conversion_rate_30d FROM products LEFT JOIN "
         "(SELECT product_id, sum(impressions) AS i, sum(orders) AS o, sum(revenue) AS r, avg(conversion_rate) AS v FROM funnel "
-        "WHERE event_date >= DATE '2024-01-31' - 20 GROUP BY ALL) USING (product_id)",
+        "WHERE event_date >= (SELECT max(event_date) FROM ev) - 30 GROUP BY ALL) USING (product_id)",
     ),
 )
 def ml_product_features(c):
@@ -233,7 +233,7 @@ def ml_product_features(c):
         "event_date", "product_id", F.col("event_id").alias("order_id"), F.col("value").alias("amount")
     )
     funnel = M.product_funnel_daily(events, bought)
-    out = FE.ml_product_features(c.products(), funnel, F.lit("2024-01-31").cast("date"), 20)
+    out = FE.ml_product_features(c.products(), funnel, events.agg(F.max("event_date")).scalar())
     return rounded(out, total_revenue_30d=2, avg_conversion_rate_30d=6)
 
 

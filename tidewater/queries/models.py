@@ -128,9 +128,9 @@ def next_item_transitions(c):
 
 @query("als_recommendations")
 def als_recommendations(c):
-    """Top 5 items per buyer, with popular items for buyers the model has not seen."""
+    """Top 5 items per buyer, with popular items for buyers without orders."""
     triples = FE.user_item_matrix(c.order_lines()).withColumn("weight", F.col("units") + F.col("orders"))
-    model = ML.fit_als(triples.where("buyer_id % 20 <> 0"), "buyer_id", "product_id", F.col("weight"))
+    model = ML.fit_als(triples, "buyer_id", "product_id", F.col("weight"))
     buyers = c.users().select(F.col("user_id").cast("int").alias("buyer_id"))
     recs = ML.recommend(model, buyers, "buyer_id", "product_id", 5)
     popular = ML.popular_items(triples, "product_id", "weight", 5).withColumn("product_id", F.col("product_id").cast("int"))
@@ -327,11 +327,11 @@ def isolation_scores(c):
 @query("fraud_scored")
 def fraud_scored(c):
     """Boosted trees over the fraud features and the anomaly score; failed payments stand in for labels."""
-    rows = isolation.isolation_scores(pin(FE.fraud_features(c.orders(), c.users())), "order_id", ML.FRAUD_FEATURES, trees=50)
+    rows = isolation.isolation_scores(pin(FE.fraud_features(c.orders(), c.users())), "order_id", ML.FRAUD_FEATURES)
     labels = c.payments().select(F.col("payment_id").alias("order_id"), F.when(F.col("status") == "FAILED", 1).otherwise(0).alias("is_fraud"))
     data = pin(rows.drop("is_anomaly").join(labels, "order_id"))
     features = (*ML.FRAUD_FEATURES, "anomaly_score")
-    _, out = ML.fit_boosted(data, features, "is_fraud", "order_id", trees=20, depth=5, rate=0.05, subsample=1.0, test_share=0.2, positive_weight=19)
+    _, out = ML.fit_boosted(data, features, "is_fraud", "order_id", trees=300, depth=5, rate=0.05, subsample=1.0, test_share=0.2, positive_weight=19)
     return rounded(out.select("order_id", "is_fraud", "probability", "risk", "is_test"), probability=4)
 
 
@@ -346,12 +346,12 @@ def als_event_recommendations(c):
 @query("churn_scored")
 def churn_scored(c):
     data = pin(FE.churn_dataset(user_feature_table(c), days=60))
-    _, out = ML.fit_boosted(data, FE.CHURN_FEATURES, "churn_label", "buyer_id", trees=20)
+    _, out = ML.fit_boosted(data, FE.CHURN_FEATURES, "churn_label", "buyer_id")
     return rounded(out.select("buyer_id", "churn_label", "probability", "risk", "is_test"), probability=4)
 
 
 @query("payment_risk_scored")
 def payment_risk_scored(c):
     data, features = ML.payment_features(pin(FE.payment_history_pit(paid(c))))
-    _, out = ML.fit_boosted(data, features, "failed_label", "payment_id", trees=20, rate=0.08)
+    _, out = ML.fit_boosted(data, features, "failed_label", "payment_id", trees=200, rate=0.08)
     return rounded(out.select("payment_id", "failed_label", "probability", "risk", "is_test"), probability=4)

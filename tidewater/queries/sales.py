@@ -9,7 +9,7 @@ from tidewater.plans.star import session_values
 from tidewater.operators.sessions import session_facts
 from tidewater.plans.schemas import STOCK_ALERT
 from tidewater.queries.oracle import sessions_sql, sql
-from tidewater.queries.registry import as_of, query, rounded
+from tidewater.queries.registry import as_of, joined, query, rounded
 
 
 @query(
@@ -181,15 +181,15 @@ def table_counts(c):
     "training_sequences",
     sql(
         "ev",
-        "SELECT session_sk, user_id, list_size AS items, last_item FROM (SELECT md5(user_id || '-' || session_num) AS session_sk, user_id, "
-        "CAST(least(count(*), 3) AS INTEGER) AS list_size, arg_max(product_id, (event_ts, event_id)) AS last_item, count(*) AS n "
+        "SELECT session_sk, user_id, list_aggregate(l[-50:], 'string_agg', ',') AS items FROM (SELECT md5(user_id || '-' || session_num) AS session_sk, user_id, "
+        "list(CAST(product_id AS VARCHAR) ORDER BY event_ts, event_id) AS l, count(*) AS n "
         "FROM numbered WHERE product_id IS NOT NULL GROUP BY user_id, session_num) WHERE n >= 2",
         sessions_sql(720),
     ),
 )
 def training_sequences(c):
-    sequences = FE.training_sequences(session_facts(c.events(), 720), max_items=3)
-    return sequences.select("session_sk", "user_id", F.size("items").alias("items"), F.element_at("items", -1).alias("last_item"))
+    sequences = FE.training_sequences(session_facts(c.events(), 720))
+    return sequences.select("session_sk", "user_id", joined("items").alias("items"))
 
 
 @query(
