@@ -117,3 +117,12 @@ def test_isolation_forest(spark):
     assert sorted(r["id"] for r in out.orderBy(F.col("anomaly_score").desc()).limit(10).collect()) == list(range(10))
     assert out.where("is_anomaly").count() <= 10
     assert expected_path(2) == 1.0 and expected_path(256) == pytest.approx(10.244770920119, rel=1e-9)
+
+
+def test_recommendations_for_wide_and_text_keys(spark):
+    pairs = [(3_000_000_000 + u, f"item-{i}", 5.0) for u in range(6) for i in range(4) if (u + i) % 3]
+    triples = spark.createDataFrame(pairs, "u bigint, i string, w double")
+    all_items = ML.recommend_by_key(triples, "u", "i", F.col("w"), 2, rank=4, iterations=5).collect()
+    assert {(r["u"], r["rank"]) for r in all_items} == {(u, k) for u, _, _ in pairs for k in (1, 2)}
+    unseen = ML.recommend_by_key(triples, "u", "i", F.col("w"), 2, unseen=True, rank=4, iterations=5).collect()
+    assert unseen and not {(r["u"], r["i"]) for r in unseen} & {(u, i) for u, i, _ in pairs}

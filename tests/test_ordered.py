@@ -148,3 +148,14 @@ def test_lookup_spreads_rows_without_a_key(spark):
         same(out, facts.join(dim, "k", "left").select("id", "k", "name"))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_percentile_with_a_hot_value(spark):
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(7.0)).otherwise(F.col("id").cast("double")).alias("x"))
+    values = sorted(r["x"] for r in df.collect())
+    for p in (0.0, 0.2, 0.5, 0.99, 1.0):
+        at = (len(values) - 1) * p
+        low = int(at)
+        exact = values[low] + (values[min(low + 1, len(values) - 1)] - values[low]) * (at - low)
+        assert R.exact_percentile(df, "x", p).first()["cut"] == pytest.approx(exact)
+    assert R.exact_percentile(df.where("x < 0"), "x", 0.5).first()["cut"] is None

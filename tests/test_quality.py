@@ -94,6 +94,24 @@ def test_csv_files(spark):
     assert verdicts == {"good.csv": True, "negative.csv": False, "shuffled.csv": True, "short.csv": False}
 
 
+def test_csv_files_without_rows_or_model(spark):
+    root, out = work_dir(spark, "landing"), work_dir(spark, "bronze-csv")
+    head = "product_id,title,category,price,available"
+    write(spark, root, "catalog/good.csv", [head, "1,A,x,10.5,true"])
+    write(spark, root, "catalog/header.csv", [head])
+    assert L.land_csv(spark, root, out, "catalog", "2024-01-01") == 2
+    later = work_dir(spark, "landing")
+    write(spark, later, "catalog/quoted.csv", ['"price","title, long",title,product_id,category,available', '7.5,zzz,"E ""e""",5,x,true'])
+    assert L.land_csv(spark, later, out, "catalog", "2024-01-01") == 1
+    rows = spark.read.parquet(f"{out}/catalog").collect()
+    assert sorted((r["product_id"], r["title"], r["checked"]) for r in rows) == [("1", "A", True), ("5", 'E "e"', True)]
+    write(spark, root, "campaigns/a.csv", ["name,budget", "spring,n/a"])
+    write(spark, root, "campaigns/b.csv", ["name,channel", "autumn,mail"])
+    assert L.land_csv(spark, root, out, "campaigns", "2024-01-01") == 2
+    rows = spark.read.parquet(f"{out}/campaigns").collect()
+    assert sorted((r["name"], r["budget"], r["channel"], r["checked"]) for r in rows) == [("autumn", None, "mail", False), ("spring", "n/a", None, False)]
+
+
 def test_rates_and_addresses(spark):
     root = work_dir(spark, "api")
     write(spark, root, "rates/a.json", ['{"result": "success", "base_code": "USD",', ' "rates": {"BRL": 5.1, "EUR": 0.9}}'])

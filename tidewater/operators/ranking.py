@@ -94,13 +94,17 @@ def with_running_totals(df: DataFrame, order: Sequence[Column], measures: dict[s
 
 
 def exact_percentile(df: DataFrame, column: str, p: float) -> DataFrame:
-    """One row ``cut``: the percentile with linear interpolation, by global position."""
-    ranked = with_global_rank(df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("x")), [F.col("x")])
-    position = F.col("total") - 1
+    """One row ``cut``: the percentile with linear interpolation, by global position.
+
+    Rows are counted per value first, so a value that many rows share is one row of the sort.
+    """
+    values = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("x")).agg(F.count(F.lit(1)).alias("n"))
+    upto = with_running_totals(values, [F.col("x")], {"upto": F.col("n")})
+    position = upto.agg(F.max("upto")).scalar() - 1
     low = F.floor(position * p)
     weight = position * p - low
-    at_low = F.max(F.when(F.col("rank") == low + 1, F.col("x")))
-    at_high = F.max(F.when(F.col("rank") == low + 2, F.col("x")))
-    return ranked.agg(at_low.alias("_lo"), at_high.alias("_hi"), F.max(weight).alias("_w")).select(
+    at_low = F.min(F.when(F.col("upto") >= low + 1, F.col("x")))
+    at_high = F.min(F.when(F.col("upto") >= low + 2, F.col("x")))
+    return upto.agg(at_low.alias("_lo"), at_high.alias("_hi"), F.max(weight).alias("_w")).select(
         (F.col("_lo") + F.coalesce(F.col("_hi") - F.col("_lo"), F.lit(0.0)) * F.col("_w")).alias("cut")
     )

@@ -130,10 +130,9 @@ def next_item_transitions(c):
 def als_recommendations(c):
     """Top 5 items per buyer, with popular items for buyers without orders."""
     triples = FE.user_item_matrix(c.order_lines()).withColumn("weight", F.col("units") + F.col("orders"))
-    model = ML.fit_als(triples, "buyer_id", "product_id", F.col("weight"))
-    buyers = c.users().select(F.col("user_id").cast("int").alias("buyer_id"))
-    recs = ML.recommend(model, buyers, "buyer_id", "product_id", 5)
-    popular = ML.popular_items(triples, "product_id", "weight", 5).withColumn("product_id", F.col("product_id").cast("int"))
+    recs = ML.recommend_by_key(triples, "buyer_id", "product_id", F.col("weight"), 5)
+    buyers = c.users().select(F.col("user_id").alias("buyer_id"))
+    popular = ML.popular_items(triples, "product_id", "weight", 5)
     return ML.with_fallback(buyers, recs, popular, "buyer_id", "product_id")
 
 
@@ -339,8 +338,8 @@ def fraud_scored(c):
 def als_event_recommendations(c):
     """Factors from behaviour events, top 10 unseen items per user."""
     triples = FE.event_interactions(c.events())
-    model = ML.fit_als(triples, "user_id", "product_id", F.col("interaction_count"), rank=128, iterations=50, reg=0.01, alpha=40.0)
-    return ML.recommend(model, triples.select("user_id").distinct(), "user_id", "product_id", 10, seen=triples)
+    weight = F.col("interaction_count")
+    return ML.recommend_by_key(triples, "user_id", "product_id", weight, 10, unseen=True, rank=128, iterations=50, reg=0.01, alpha=40.0)
 
 
 @query("churn_scored")

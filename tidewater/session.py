@@ -18,6 +18,7 @@ def get_spark(app: str = "tidewater", master: str | None = None, **conf: str) ->
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     )
     if master:
         builder = builder.master(master)

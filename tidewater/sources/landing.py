@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping
-from functools import reduce
+from functools import partial, reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.operators.merge import overwrite_partitions, table_exists
 from tidewater.operators.quality import Rule, between, not_null, tag_failures
 
 # Models of the landed CSV types. Every column is required.
@@ -56,14 +58,10 @@ def coerce(df: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()) -> D
     return df.select(*[value(f).alias(f.name) for f in schema.fields], *keep)
 
 
-def read_landing_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All CSV files of a folder, columns matched by each file's own header.
-
-    Headers are read by one distributed job. What reaches the driver is one
-    short row per file; files that share a header are read together.
-    """
+def landed_headers(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header) of every CSV file of a folder that has a first line, rows below it or not."""
     lines = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true").text(path)
-    first = (
+    return (
         lines.select(
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("start"),
@@ -74,18 +72,29 @@ def read_landing_csv(spark: SparkSession, path: str, schema: T.StructType) -> Da
         .groupBy("file")
         .agg(F.min_by("value", "line").alias("header"))
     )
+
+
+def read_landing_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """All CSV files of a folder, columns matched by each file's own header.
+
+    Without a schema every column of every header is kept, as text. Headers are
+    read by one distributed job. What reaches the driver is one short row per
+    file; files that share a header are read together.
+    """
     by_header: dict[str, list[str]] = {}
-    for row in first.collect():
+    for row in landed_headers(spark, path).collect():
         by_header.setdefault(row["header"], []).append(unquote(row["file"]))  # the column is a URI
     frames = []
     for header, files in sorted(by_header.items()):
-        names = [n.strip().strip('"') for n in header.lstrip("﻿").split(",")]
+        names = [n.strip() for n in next(csv.reader([header.lstrip("\ufeff")]), [])]
         text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        rows = spark.read.schema(text).option("header", True).option("multiLine", True).csv(sorted(files))
-        frames.append(coerce(rows.withColumn(FILE, F.col("_metadata.file_path")), schema, (FILE,)))
+        rows = spark.read.schema(text).option("header", True).option("multiLine", True).option("escape", '"').csv(sorted(files))
+        rows = rows.withColumn(FILE, F.col("_metadata.file_path"))
+        frames.append(coerce(rows, schema, (FILE,)) if schema else rows)
     if not frames:
-        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(FILE, T.StringType())]))
-    return reduce(DataFrame.unionByName, frames)
+        fields = schema.fields if schema else []
+        return spark.createDataFrame([], T.StructType([*fields, T.StructField(FILE, T.StringType())]))
+    return reduce(partial(DataFrame.unionByName, allowMissingColumns=True), frames)
 
 
 def file_verdicts(rows: DataFrame, file_type: str, file_col: str = FILE) -> DataFrame:
@@ -100,19 +109,24 @@ def file_verdicts(rows: DataFrame, file_type: str, file_col: str = FILE) -> Data
 def land_csv(spark: SparkSession, landing: str, bronze: str, file_type: str, date: str) -> int:
     """Write accepted files into the day's partition and return how many there were.
 
-    Types without a model, and folders without files, accept nothing.
+    A file with a header and no rows has no failing row, so it is accepted. Files
+    of a type without a model are loaded unchecked, as text, with ``checked``
+    false. A missing or empty folder accepts nothing. Below the day a file has
+    its own folder: landing it again replaces it and leaves the day's others.
     """
-    if file_type not in CSV_MODELS:
+    folder = f"{landing}/{file_type}"
+    if not table_exists(spark, folder):
         return 0
-    schema, _ = CSV_MODELS[file_type]
-    rows = read_landing_csv(spark, f"{landing}/{file_type}", schema)
-    verdicts = file_verdicts(rows, file_type)
-    accepted = rows.join(verdicts.where("accepted").select(FILE), FILE, "left_semi")
-    day = accepted.withColumn("event_date", F.lit(date).cast("date"))
-    day.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(
-        f"{bronze}/{file_type}"
-    )
-    return verdicts.where("accepted").count()
+    files = landed_headers(spark, folder).select(F.col("file").alias(FILE))
+    modelled = file_type in CSV_MODELS
+    rows = read_landing_csv(spark, folder, CSV_MODELS[file_type][0] if modelled else None)
+    if modelled:
+        rejected = file_verdicts(rows, file_type).where("not accepted").select(FILE)
+        files, rows = (df.join(rejected, FILE, "left_anti") for df in (files, rows))
+    day = rows.withColumns({"checked": F.lit(modelled), "event_date": F.lit(date).cast("date")})
+    if len(day.columns) > 3:  # else not one file has a column
+        overwrite_partitions(day, f"{bronze}/{file_type}", ["event_date", FILE])
+    return files.count()
 
 
 RATES = T.StructType(

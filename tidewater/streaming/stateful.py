@@ -25,10 +25,9 @@ def session_windows(events: DataFrame, user: str = "user_id", ts: str = "ts", ga
     """Sessions with a fixed gap, emitted when closed.
 
     The gap is exact here, while the batch sessions count whole minutes.
-    Sessions are merged inside each task before the shuffle, so a busy user
-    arrives as sessions and not as events.
+    The session of ``get_spark`` merges sessions inside each task before the
+    shuffle, so a busy user arrives as sessions and not as events.
     """
-    events.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     sessions = events.withWatermark(ts, delay).groupBy(F.session_window(ts, gap).alias("w"), user).agg(
         F.count(F.lit(1)).alias("event_count")
     )
