@@ -285,6 +285,35 @@ def test_classifiers(spark, docs, empty, train, score, label, cut):
         assert all(0 <= r.score <= 1 for r in score(docs, train(table, none)).collect())
 
 
+def pair_texts(seed, n=600):
+    """Toxic is mona with fool, and lisa with king; each of the four words is in half of the texts of either class."""
+    rng, out = np.random.default_rng(seed), []
+    for i in range(n):
+        first, second = i % 2, i // 2 % 2
+        own = [*rng.choice([f"word{k}" for k in range(300)], 40), ("mona", "lisa")[first], ("fool", "king")[second]]
+        out.append((" ".join(rng.permutation(own)), int(first == second)))
+    return out
+
+
+def test_toxic_pairs_of_words_that_tell_nothing_alone():
+    terms = toxicity.make_terms()
+    known, new = ([(terms(t), y) for t, y in pair_texts(seed)] for seed in (1, 2))
+    rng = np.random.default_rng(3)
+    known = [known[i] for i in rng.permutation(len(known))]
+    model = toxicity.fit([r for r, _ in known], np.array([y for _, y in known]))
+    assert np.mean([(model.slope * model.margin(r) + model.shift > 0) == y for r, y in new]) > 0.95
+
+
+def test_a_rare_insult_keeps_its_weight():
+    terms, rng, rows, labels = toxicity.make_terms(), np.random.default_rng(1), [], []
+    for i in range(2985):  # about as many as the labels of sf0.1; every fifth calibrates
+        toxic = i % 9 == 0
+        rows.append(terms(" ".join([*rng.choice([f"word{k}" for k in range(300)], 40), *(["nasty"] if toxic else []), *(["vile"] if i in (9, 18, 27, 36) else [])])))
+        labels.append(int(toxic))
+    model = toxicity.fit(rows, np.array(labels))
+    assert model.linear[terms("vile")[0]] > 0
+
+
 def test_pipeline(spark, docs, empty, tmp_path):
     base = str(tmp_path)
     spark.createDataFrame([(i, i % 2) for i in range(9)], "doc_id long, quality int").write.parquet(f"{base}/labels.parquet")
