@@ -133,6 +133,15 @@ def test_a_dense_group_is_linked_through_a_forest():
     assert len(a) < 300 and set(simhash.components_of(a, b)[1].tolist()) == {0}
 
 
+def test_one_large_group_alone_and_groups_without_questions():
+    many = np.arange(2000, dtype=np.uint64)
+    asks = np.repeat(np.array([0, 1], np.int8), len(many))
+    a, b = simhash._link_groups(np.zeros(2 * len(many), np.int64), np.concatenate([many, many]), asks)  # 4 million pairs
+    assert len(a) == len(many) - 1 and set(simhash.components_of(a, b)[1].tolist()) == {0}
+    a, b = simhash._link_groups(np.array([1, 1, 2]), np.arange(3, dtype=np.uint64), np.zeros(3, np.int8))
+    assert len(a) == len(b) == 0
+
+
 @pytest.fixture(scope="module")
 def ranks():
     return bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))

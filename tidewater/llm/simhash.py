@@ -240,8 +240,8 @@ def _link_groups(keys: np.ndarray, fps: np.ndarray, asks: np.ndarray) -> tuple[n
         found_b.append(b)
     pairs = asking * having
     pairs[large] = 0
-    edges = np.searchsorted(np.cumsum(pairs), np.arange(PAIRS, pairs.sum() + PAIRS, PAIRS), side="left") + 1
-    for lo, hi in zip([0, *edges[:-1]], edges, strict=True):
+    edges = [0, *(np.searchsorted(np.cumsum(pairs), np.arange(PAIRS, pairs.sum() + PAIRS, PAIRS), side="left") + 1)]  # 0 alone without pairs
+    for lo, hi in zip(edges[:-1], edges[1:], strict=True):
         n = pairs[lo:hi]
         if not n.sum():
             continue
