@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bpe, exact_dedup, learning, line_dedup, mixing, quality, simhash, sketch, substring_dedup, toxicity, warc
+from tidewater.llm import alignment, bpe, exact_dedup, learning, line_dedup, merkle, mixing, quality, simhash, sketch, substring_dedup, toxicity, warc
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+#: The two vocabularies that are aligned.
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -82,6 +85,29 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = (Path(public_tokenizers.path(name)).read_bytes() for name in ALIGNED)
+    done = alignment.align(_table(spark, sf_dir, "documents"), a.decode(), b)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return done.select(F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    more = {"n_chars": docs["n_chars"].cast("decimal(20,0)") + 1}
+    changed = merkle.leaf_of([more.get(c, docs[c]) for c in merkle.FIELDS])
+    tampered = F.crc32(docs["doc_id"].cast("string")) % 7 == 0
+    done = merkle.manifest(docs, seen=F.when(tampered, changed))
+    return done.select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"),
+        merkle.fold(F.coalesce("seen", "leaf"), F.col("proof")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 _BLANK = r"[\x20\x09-\x0D]"
 
 _OP1_SQL = rf"""
@@ -106,6 +132,54 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(gone AS INT)) AS BIGINT) AS n_
 FROM placed GROUP BY doc_id
 """
 
+# CRC-32 bit by bit: 3988292384 is its polynomial, 4294967295 its start and final mask.
+_OP13_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT *, CAST(doc_id AS VARCHAR) AS key FROM documents
+), tampered AS (
+  SELECT *, coalesce(xor(list_reduce(list_transform(range(1, length(key) + 1), lambda i: CAST(ascii(key[i]) AS BIGINT)),
+    lambda crc, x: list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, CAST(3988292384 AS BIGINT)) ELSE c // 2 END, xor(crc, x)),
+    CAST(4294967295 AS BIGINT)), 4294967295) % 7 = 0, false) AS bad FROM d
+), parts AS (
+  SELECT *, coalesce(strlen(key) || ':' || key, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS tail, CAST(n_chars AS VARCHAR) AS own, CAST(n_chars + 1 AS VARCHAR) AS more FROM tampered
+), leaves AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(own) || ':' || own, '-') || tail) AS leaf,
+    CASE WHEN bad THEN sha256(head || coalesce(strlen(more) || ':' || more, '-') || tail) ELSE sha256(head || coalesce(strlen(own) || ':' || own, '-') || tail) END AS seen FROM parts
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n,
+    dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g FROM leaves
+), low AS (
+  SELECT g, 0 AS lvl, idx, n, leaf AS h FROM placed
+  UNION ALL
+  SELECT g, lvl + 1, idx // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY idx)) FROM low WHERE n > 1 GROUP BY g, lvl, idx // 2, n
+), subroots AS (
+  SELECT g, lvl AS height, h, (SELECT count(DISTINCT g) FROM placed) AS n FROM low WHERE n = 1
+), high AS (
+  SELECT 0 AS lvl, g AS idx, n, h FROM subroots
+  UNION ALL
+  SELECT lvl + 1, idx // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY idx)) FROM high WHERE n > 1 GROUP BY lvl, idx // 2, n
+), steps AS (
+  SELECT p.g, p.idx AS place, l.lvl, s.h AS sibling, s.idx < l.idx AS is_left FROM placed p
+  JOIN low l ON l.g = p.g AND l.idx = p.idx >> l.lvl AND l.n > 1 LEFT JOIN low s ON s.g = l.g AND s.lvl = l.lvl AND s.idx = xor(l.idx, 1)
+  UNION ALL
+  SELECT p.g, p.idx, r.height + l.lvl, s.h, s.idx < l.idx FROM placed p JOIN subroots r USING (g)
+  JOIN high l ON l.idx = p.g >> l.lvl AND l.n > 1 LEFT JOIN high s ON s.lvl = l.lvl AND s.idx = xor(l.idx, 1)
+), folded AS (
+  SELECT g, idx AS place, 0 AS lvl, seen AS h FROM placed
+  UNION ALL
+  SELECT f.g, f.place, f.lvl + 1, sha256(CASE WHEN s.sibling IS NULL THEN f.h WHEN s.is_left THEN s.sibling || f.h ELSE f.h || s.sibling END)
+  FROM folded f JOIN steps s USING (g, place, lvl)
+), proofs AS (
+  SELECT g, place, coalesce(string_agg(sibling, '' ORDER BY lvl), '') AS proof FROM steps GROUP BY g, place
+), ends AS (
+  SELECT g, place, arg_max(h, lvl) AS folded_root FROM folded GROUP BY g, place
+)
+SELECT p.doc_id, p.leaf, r.h AS subroot, t.h AS root, sha256(coalesce(q.proof, '')) AS proof_sha256, e.folded_root, e.folded_root = t.h AS verified
+FROM placed p JOIN subroots r USING (g) CROSS JOIN (SELECT h FROM high WHERE n = 1) t
+LEFT JOIN proofs q ON q.g = p.g AND q.place = p.idx JOIN ends e ON e.g = p.g AND e.place = p.idx
+"""
+
 _QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_fingerprints": op2_fingerprints,
@@ -117,8 +191,10 @@ _QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_passages": op9_passages,
     "op10_warc": op10_warc,
+    "op12_alignment": op12_alignment,
+    "op13_merkle": op13_merkle,
 }
-_SQL = {"op1_exact_dedup": _OP1_SQL, "op5_line_dedup": _OP5_SQL}
+_SQL = {"op1_exact_dedup": _OP1_SQL, "op5_line_dedup": _OP5_SQL, "op13_merkle": _OP13_SQL}
 
 
 def queries() -> dict[str, Query]:
