@@ -9,11 +9,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import alignment, bpe, exact_dedup, learning, line_dedup, merkle, mixing, quality, simhash, sketch, substring_dedup, toxicity, warc
+from tidewater.llm import alignment, bpe, exact_dedup, learning, line_dedup, merkle, mixing, quality, simhash, sketch, substring_dedup, toxicity, url_filter, warc
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: The two vocabularies that are aligned.
 ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
+#: The written rules for addresses as (verdict, host, path).
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -85,6 +93,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = (Path(public_tokenizers.path(name)).read_bytes() for name in ALIGNED)
     done = alignment.align(_table(spark, sf_dir, "documents"), a.decode(), b)
@@ -191,6 +204,7 @@ _QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_passages": op9_passages,
     "op10_warc": op10_warc,
+    "op11_url_filter": op11_url_filter,
     "op12_alignment": op12_alignment,
     "op13_merkle": op13_merkle,
 }
