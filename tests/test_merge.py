@@ -5,6 +5,7 @@ from conftest import ts
 from pyspark.sql import functions as F
 
 from tidewater.operators import merge as M
+from tidewater.operators import versions as V
 from tidewater.session import work_dir
 
 
@@ -94,14 +95,14 @@ def test_partition_writes(spark):
     for _ in range(2):
         M.merge_partitions(spark, merged, batch, "id", "at", "d")
     M.merge_partitions(spark, merged, batch.where("id = 1").withColumn("at", F.lit(4)).withColumn("v", F.lit("z")), "id", "at", "d")
-    assert sorted((r["id"], r["v"]) for r in spark.read.parquet(merged).collect()) == [(1, "z"), (5, "y")]
+    assert sorted((r["id"], r["v"]) for r in V.read_table(spark, merged).collect()) == [(1, "z"), (5, "y")]
 
 
 def test_overwrite_table_allows_a_new_schema(spark):
     path = work_dir(spark, "table")
-    M.overwrite_table(spark.range(3), path)
-    M.overwrite_table(spark.range(2).withColumn("x", F.lit("a")), path)
-    again = spark.read.parquet(path)
+    V.replace_table(spark.range(3), path)
+    V.replace_table(spark.range(2).withColumn("x", F.lit("a")), path)
+    again = V.read_table(spark, path)
     assert again.columns == ["id", "x"] and again.count() == 2
 
 

@@ -4,6 +4,7 @@ from conftest import ts
 from pyspark.sql import functions as F
 
 from tidewater.operators.cdc import parse_envelope
+from tidewater.operators.versions import read_table
 from tidewater.plans.schemas import CLICK
 from tidewater.session import work_dir
 from tidewater.sources.bronze import replay_topic
@@ -75,7 +76,7 @@ def test_dedup_and_merge(spark):
     latest = {}
     for key, at, n in rows:
         latest[key] = max(latest.get(key, (at, n)), (at, n))
-    got = {r["event_id"]: r["n"] for r in spark.read.parquet(silver).collect()}
+    got = {r["event_id"]: r["n"] for r in read_table(spark, silver).collect()}
     assert got.keys() == latest.keys() and all(r[0] == max(a for k, a, _ in rows if k == key) for key, r in latest.items())
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions import row_hash
+from tidewater.operators import versions
 from tidewater.operators.latest import latest_per_key, require_columns
 from tidewater.operators.timecells import DAY, with_neighbour
 from tidewater.session import pin
@@ -51,15 +52,15 @@ def merge_scd2(
     kept = None
     timeline = fresh
     if target is not None:
-        # What is pinned here has the size of the updates; the target is read twice and never sorted.
+        # What is pinned here has the size of the updates; closed versions are only copied, never joined or sorted.
         fresh = pin(fresh)
         keys = fresh.select(key).distinct()
-        touched = pin(target.where("is_current").join(keys, key, "left_semi").select(*payload, "row_hash", "valid_from"))
+        current = target.where("is_current")
+        touched = pin(current.join(keys, key, "left_semi").select(*payload, "row_hash", "valid_from"))
         known = touched.select(key, F.col("valid_from").alias("_since"))
         new = fresh.join(known, key, "left").where(F.col("_since").isNull() | (F.col("valid_from") > F.col("_since")))
         timeline = touched.unionByName(new.drop("_since"))
-        marked = target.join(touched.select(key, F.lit(True).alias("_touched")), key, "left")
-        kept = marked.where(~F.col("is_current") | F.col("_touched").isNull())
+        kept = target.where(~F.col("is_current")).unionByName(current.join(keys, key, "left_anti"))
     order = ["valid_from", "row_hash"]
     changes = with_neighbour(timeline, key, "valid_from", order, ["row_hash"], "_prev", cell_seconds=cell_seconds).where(
         F.col("_prev").isNull() | (F.col("_prev.row_hash") != F.col("row_hash"))
@@ -83,23 +84,6 @@ def retain(df: DataFrame, date_col: str, days: int, as_of: Column) -> DataFrame:
     return df.where(F.col(date_col) >= F.date_sub(as_of, days))
 
 
-def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace a table, schema included: write beside it, then swap directories."""
-    spark = df.sparkSession
-    staged = f"{path}.next"
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(staged)
-    jvm = spark._jvm
-    target, ready, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, staged, f"{path}.old"))
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(old, True)
-    if fs.exists(target) and not fs.rename(target, old):
-        raise OSError(f"cannot move {path} aside")
-    if not fs.rename(ready, target):
-        raise OSError(f"cannot move {staged} into place")
-    fs.delete(old, True)
-
-
 def write_counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     """Write and return the number of rows, observed on the way instead of counted again."""
     seen = Observation()
@@ -117,7 +101,11 @@ def save_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Replace only the partitions present in ``df``; rerunning a day is idempotent."""
+    """Replace only the partitions present in ``df``, in the plain layout that any Parquet reader understands.
+
+    A crash between the removal of old files and the arrival of new ones loses
+    rows until the write is repeated; ``versions.replace_partitions`` does not.
+    """
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -127,17 +115,24 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
 
 
 def merge_partitions(
-    spark: SparkSession, path: str, updates: DataFrame, key: str, order_col: str, partition_col: str
-) -> None:
-    """Upsert into a partitioned table, rewriting only the partitions the updates touch.
+    spark: SparkSession, path: str, updates: DataFrame, key: str, order_col: str, partition_col: str, mark: tuple[str, int] | None = None
+) -> bool:
+    """Upsert into a partitioned table of ``versions``, rewriting only the partitions the updates touch.
 
     The partition column must be fixed per key (an event or creation date).
+    Readers see the merge whole or not at all; False where ``mark`` shows that it has been done.
     """
-    touched = updates.select(partition_col).distinct()
+    base = versions.current(spark, path)
+    if versions.seen(base, mark):
+        return False
     existing = None
-    if table_exists(spark, path):
-        existing = spark.read.schema(updates.schema).parquet(path).join(touched, partition_col, "left_semi")
-    overwrite_partitions(upsert(existing, updates, key, order_col).select(*updates.columns), path, [partition_col])
+    if base is not None:
+        touched = updates.select(F.col(partition_col).alias("_touched")).distinct()
+        there = versions.read_table(spark, path, base)
+        existing = there.join(touched, F.col(partition_col).eqNullSafe(F.col("_touched")), "left_semi")
+    merged = upsert(existing, updates, key, order_col).select(*updates.columns)
+    versions.write_version(merged, path, [partition_col], replaces=lambda unit: True, mark=mark, base=base)
+    return True
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:

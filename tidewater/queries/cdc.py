@@ -6,7 +6,9 @@ from pyspark.sql import types as T
 from tidewater.functions import parse_ts
 from tidewater.operators import cdc as C
 from tidewater.operators import cleaning as CL
+from tidewater.operators import keyed as KD
 from tidewater.operators import merge as MG
+from tidewater.operators import versions as VS
 from tidewater.plans import operational as OP
 from tidewater.plans import silver as SI
 from tidewater.plans.schemas import CLICK
@@ -325,20 +327,25 @@ def upsert_latest(c):
     return MG.upsert(target, changed.unionByName(new), "order_id", "updated_at")
 
 
-@query(
-    "scd2_merge",
-    """WITH v AS (SELECT o_custkey AS user_id, o_orderstatus AS status, o_orderdate + to_microseconds(o_orderkey) AS since FROM orders),
+STATUS_HISTORY = """WITH v AS (SELECT o_custkey AS user_id, o_orderstatus AS status, o_orderdate + to_microseconds(o_orderkey) AS since FROM orders),
     ch AS (SELECT * FROM (SELECT *, lag(status) OVER (PARTITION BY user_id ORDER BY since) AS prev FROM v) WHERE prev IS NULL OR prev <> status)
     SELECT user_id, status, since AS valid_from, lead(since) OVER (PARTITION BY user_id ORDER BY since) AS valid_to,
-    lead(since) OVER (PARTITION BY user_id ORDER BY since) IS NULL AS is_current, md5(status) AS row_hash FROM ch""",
-)
-def scd2_merge(c):
-    """Customer status history: orders up to 1997 build the table, later ones are merged, then merged again."""
-    updates = c.table("orders").select(
+    lead(since) OVER (PARTITION BY user_id ORDER BY since) IS NULL AS is_current, md5(status) AS row_hash FROM ch"""
+
+
+def status_changes(c):
+    """Customer statuses at the times of their orders."""
+    return c.table("orders").select(
         F.col("o_custkey").alias("user_id"),
         F.col("o_orderstatus").alias("status"),
         (F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(secs=(F.col("o_orderkey") / 1e6).cast("decimal(18,6)"))).alias("at"),
     )
+
+
+@query("scd2_merge", STATUS_HISTORY)
+def scd2_merge(c):
+    """Customer status history: orders up to 1997 build the table, later ones are merged, then merged again."""
+    updates = status_changes(c)
     split = F.lit("1998-01-01").cast("timestamp")
     first = MG.merge_scd2(None, updates.where(F.col("at") < split), "user_id", ["status"], "at", cell_seconds=30 * 86400)
     later = updates.where(F.col("at") >= split)
@@ -346,6 +353,61 @@ def scd2_merge(c):
     return MG.merge_scd2(second, later, "user_id", ["status"], "at", cell_seconds=30 * 86400).drop("at")
 
 
+@query("scd2_table", STATUS_HISTORY)
+def scd2_table(c):
+    """The same history kept as a table: two merges in time, then the changes that were held back, which come late."""
+    path, updates = work_dir(c.spark, "history"), status_changes(c)
+    split, late = F.lit("1998-01-01").cast("timestamp"), F.col("user_id") % 50 == 7
+    held_back = late & (F.month("at") == 3)
+    for batch in (updates.where((F.col("at") < split) & ~held_back), updates.where((F.col("at") >= split) & ~held_back), updates.where(held_back)):
+        KD.apply_changes(c.spark, path, batch, "user_id", ["status"], "at", buckets=8, cell_seconds=30 * 86400)
+    return KD.read_history(c.spark, path).drop("at")
+
+
+@query(
+    "upsert_table",
+    "SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 2 = 1 THEN 'updated' ELSE o_orderstatus END AS status, "
+    "CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 2 = 1 THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END AS updated_at FROM orders",
+)
+def upsert_table(c):
+    """Orders kept as a keyed table; a third of them get an update, half of those an older one."""
+    path = work_dir(c.spark, "keyed-orders")
+    rows = c.table("orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status"), F.col("o_orderdate").cast("timestamp").alias("updated_at")
+    )
+    day = F.expr("interval 1 day")
+    at = F.when(F.col("order_id") % 2 == 1, F.col("updated_at") + day).otherwise(F.col("updated_at") - day)
+    for batch in (rows, rows.where("order_id % 3 = 0").select("order_id", F.lit("updated").alias("status"), at.alias("updated_at"))):
+        KD.upsert_table(c.spark, path, batch, "order_id", "updated_at", buckets=8)
+    return KD.read_keyed(c.spark, path)
+
+
+@query(
+    "overwrite_partition_rerun",
+    "SELECT event_id, event_type, CASE WHEN CAST(ts AS DATE) = DATE '2024-01-15' THEN value * 2 ELSE value END AS value, CAST(ts AS DATE) AS event_date FROM events",
+)
+def overwrite_partition_rerun(c):
+    """Events by day; one day is computed anew and replaced, twice."""
+    path = work_dir(c.spark, "daily-events")
+    events = c.table("events").select("event_id", "event_type", "value", F.to_date("ts").alias("event_date"))
+    VS.replace_partitions(events, path, ["event_date"])
+    day = events.where(F.col("event_date") == F.lit("2024-01-15").cast("date")).withColumn("value", F.col("value") * 2)
+    for _ in range(2):
+        VS.replace_partitions(day, path, ["event_date"])
+    return VS.read_table(c.spark, path)
+
+
+@query("overwrite_table_schema", "SELECT c_custkey AS user_id, c_name AS name, c_mktsegment AS segment FROM customer WHERE c_acctbal > 0")
+def overwrite_table_schema(c):
+    """A table replaced by one with other columns; a repeat under the same mark is recognised and does nothing."""
+    path, users = work_dir(c.spark, "replaced"), c.table("customer")
+    VS.replace_table(users.select(F.col("c_custkey").alias("user_id"), "c_acctbal"), path)
+    new = users.where("c_acctbal > 0").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
+    VS.replace_table(new, path, mark=("daily", 1))
+    VS.replace_table(new.limit(0), path, mark=("daily", 1))
+    return VS.read_table(c.spark, path)
+
+
 @query(
     "retention_filter",
     "SELECT event_type, count(*) AS events FROM events WHERE CAST(ts AS DATE) >= (SELECT CAST(max(ts) AS DATE) FROM events) - 10 GROUP BY 1",

@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from tidewater.operators.keyed import read_history
+from tidewater.operators.versions import read_table
 from tidewater.plans.schemas import CLICK
-from tidewater.queries.cdc import click_messages
+from tidewater.queries.cdc import STATUS_HISTORY, click_messages, status_changes
 from tidewater.queries.registry import query
 from tidewater.session import work_dir
 from tidewater.sources.bronze import replay_topic
@@ -25,6 +27,11 @@ def event_stream(c):
     return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def written_events(c):
+    """The same rows as the bronze table holds them."""
+    return c.table("events").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def run(c, df, name, partition_by=("event_date",)):
     path = work_dir(c.spark, name)
     B.write_bronze_stream(df, path, work_dir(c.spark, f"{name}-checkpoint"), partition_by=partition_by).awaitTermination()
@@ -88,28 +95,24 @@ def stream_dedup(c):
     return out.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"), F.sum("event_id").alias("id_sum"))
 
 
-@query(
-    "events_per_minute",
-    "SELECT * FROM (SELECT date_trunc('minute', ts) AS minute, event_type, count(*) AS events FROM events GROUP BY 1, 2) "
-    "WHERE minute + INTERVAL 1 MINUTE <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events)",
-)
+@query("events_per_minute", "SELECT date_trunc('minute', ts) AS minute, event_type, count(*) AS events FROM events GROUP BY 1, 2")
 def events_per_minute(c):
+    """Closed minutes from the stream, settled with the written rows: the open minutes and late rows are in."""
     rates = ST.rate_per_minute(event_stream(c), by=("event_type",))
     out = run(c, rates.withColumn("event_date", F.to_date("minute")), "rates")
-    return out.select("minute", "event_type", "events")
+    return ST.settle_rates(out, written_events(c), by=("event_type",)).drop("state")
 
 
 @query(
     "session_window_counts",
     """SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS event_count FROM (
     SELECT *, sum(CASE WHEN prev IS NULL OR ts > prev + INTERVAL 30 MINUTE THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts) AS s
-    FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events)) GROUP BY user_id, s
-    HAVING max(ts) + INTERVAL 30 MINUTE <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events)""",
+    FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events)) GROUP BY user_id, s""",
 )
 def session_window_counts(c):
     sessions = ST.session_windows(event_stream(c))
     out = run(c, sessions.withColumn("event_date", F.to_date("session_start")), "sessions")
-    return out.drop("event_date")
+    return ST.settle_sessions(out.drop("event_date"), written_events(c)).drop("state")
 
 
 @query(
@@ -123,4 +126,15 @@ def stream_merge(c):
     later = rows.withColumns({"ts": F.col("ts") + F.expr("interval 1 second"), "event_type": F.concat("event_type", F.lit("!"))})
     for n, df in enumerate((rows, later)):
         ST.stream_merge(df, path, work_dir(c.spark, f"silver-{n}"), "event_id", "ts", "event_date").awaitTermination()
-    return c.spark.read.parquet(path)
+    return read_table(c.spark, path)
+
+
+@query("stream_scd2", STATUS_HISTORY)
+def stream_scd2(c):
+    """Customer status changes streamed in four batches that are no cut in time, so that most of them come late."""
+    source, path = work_dir(c.spark, "changes"), work_dir(c.spark, "silver-history")
+    changes = status_changes(c)
+    changes.withColumn("part", F.pmod(F.xxhash64("user_id", "at"), F.lit(4))).repartition(4, "part").write.partitionBy("part").parquet(source)
+    stream = c.spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(source).select(*changes.columns)
+    ST.stream_scd2(stream, path, work_dir(c.spark, "history-marks"), "user_id", ["status"], "at", buckets=8, cell_seconds=30 * 86400).awaitTermination()
+    return read_history(c.spark, path).drop("at")
