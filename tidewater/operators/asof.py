@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -61,6 +62,55 @@ def asof_join(
     )
 
 
+@dataclass(frozen=True)
+class Source:
+    """Feature rows for ``asof_join_many``: their time, the columns wanted and how long they are valid."""
+
+    name: str
+    rows: DataFrame
+    ts: str
+    columns: tuple[str, ...]
+    ttl_seconds: int | None = None
+
+
+def asof_join_many(spine: DataFrame, sources: Sequence[Source], entity: str, spine_ts: str, cell_seconds: int = DAY) -> DataFrame:
+    """Each spine row with the latest valid feature row of every source at or before its time.
+
+    Columns come out as ``<source>__<column>``, the feature time as
+    ``<source>__ts``. All sources share one order of (entity, time cell): the
+    spine is moved once, however many sources there are, and the latest row of
+    earlier cells is carried per source over one summary. A feature struct
+    starts with its time, so the greatest up to a row is the latest.
+    """
+    require_columns(spine, [entity, spine_ts], "asof_join_many spine")
+    f = [f"_f{i}" for i in range(len(sources))]
+    rows = spine.select(entity, cell_of(spine_ts, cell_seconds).alias(CELL), micros(spine_ts).alias("_at"), F.struct(*spine.columns).alias("_s"))
+    line, facts = rows.withColumn("_side", F.lit(1)), None
+    for name, source in zip(f, sources, strict=True):
+        require_columns(source.rows, [entity, source.ts, *source.columns], f"asof_join_many {source.name}")
+        value = F.struct(micros(source.ts).alias("at"), F.col(source.ts).alias("ts"), F.struct(*source.columns).alias("v"))
+        known = source.rows.where(F.col(entity).isNotNull() & F.col(source.ts).isNotNull())
+        known = known.select(entity, cell_of(source.ts, cell_seconds).alias(CELL), micros(source.ts).alias("_at"), value.alias(name))
+        facts = known if facts is None else facts.unionByName(known, allowMissingColumns=True)
+    line = line.unionByName(facts.withColumn("_side", F.lit(0)), allowMissingColumns=True)
+    per_cell = facts.groupBy(entity, CELL).agg(*[F.max(c).alias(c) for c in f])
+    timeline = rows.select(entity, CELL).distinct().unionByName(per_cell, allowMissingColumns=True)
+    timeline = timeline.groupBy(entity, CELL).agg(*[F.max(c).alias(c) for c in f])
+    earlier = Window.partitionBy(entity).orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
+    carried = timeline.select(entity, CELL, *[F.max(c).over(earlier).alias(f"{c}_far") for c in f])
+    inside = Window.partitionBy(entity, CELL).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    matched = line.select(entity, CELL, "_at", "_side", "_s", *[F.max(c).over(inside).alias(f"{c}_near") for c in f])
+    matched = matched.where("_side = 1").join(carried, [entity, CELL], "left")
+    out = []
+    for name, source in zip(f, sources, strict=True):
+        hit = F.coalesce(f"{name}_near", f"{name}_far")
+        if source.ttl_seconds is not None:
+            hit = F.when(hit["at"] >= F.col("_at") - source.ttl_seconds * 1_000_000, hit)
+        matched = matched.withColumn(name, hit)
+        out += [F.col(f"{name}.ts").alias(f"{source.name}__ts"), *[F.col(f"{name}.v.{c}").alias(f"{source.name}__{c}") for c in source.columns]]
+    return matched.select("_s.*", *out)
+
+
 def latest_features(features: DataFrame, entity: str, feature_ts: str, ids: DataFrame | None = None) -> DataFrame:
     """Newest feature row per entity, optionally only for the given ids."""
     rows = features if ids is None else features.join(ids.select(entity).distinct(), entity, "left_semi")

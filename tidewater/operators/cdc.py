@@ -99,6 +99,9 @@ def current_state(bronze: DataFrame, key: str, schema: T.StructType, deletes: st
     ``deletes="ignore"`` drops delete rows before ranking, so the last image of
     a deleted key stays. ``"apply"`` ranks deletes too, keyed by their before
     image, and drops keys whose last change is a delete.
+
+    Only the key is read from every image. The raw image of the latest change is
+    what an aggregate keeps and shuffles, and only survivors are parsed in full.
     """
     if deletes not in ("ignore", "apply"):
         raise ValueError("deletes must be 'ignore' or 'apply'")
@@ -109,13 +112,13 @@ def current_state(bronze: DataFrame, key: str, schema: T.StructType, deletes: st
         image = F.col("payload_after")
     else:
         image = F.when(F.col("cdc_op") == "d", F.col("payload_before")).otherwise(F.col("payload_after"))
-    rows = rows.withColumn("_image", image)
-    parsed = parse_payload(rows, schema, "_image", ("cdc_op", *order))
-    names = [f.name for f in schema.fields]
-    last = latest_per_key(parsed, [key], order, drop_null_key=True)
+    key_only = T.StructType([schema[key]])
+    rows = rows.select(image.alias("_image"), "cdc_op", *order)
+    keyed = rows.withColumn("_k", F.from_json("_image", _as_text(key_only))).select(*typed("_k", key_only), "_image", "cdc_op", *order)
+    last = latest_per_key(keyed, [key], order, drop_null_key=True)
     if deletes == "apply":
         last = last.where(F.col("cdc_op") != "d")
-    return last.select(*names)
+    return parse_payload(last, schema, "_image")
 
 
 def profile(bronze: DataFrame) -> DataFrame:

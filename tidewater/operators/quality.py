@@ -1,4 +1,4 @@
-"""Declarative data-quality suites: one aggregation for all row rules."""
+"""Declarative data-quality suites: one scan for all rules."""
 
 from __future__ import annotations
 
@@ -85,48 +85,54 @@ ROW_RULES = ("not_null", "in_set", "between", "regex")
 
 
 def run_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """(rule, passed, failing, total) per rule.
+    """(rule, passed, failing, total) per rule, from one scan of the rows.
 
-    Row rules and the row count share one aggregation. Each uniqueness rule is
-    its own grouped count, since it needs a shuffle by its column.
+    A row becomes one entry with its broken row rules and one entry per
+    uniqueness rule with its value. The entries are counted by (rule, value) in
+    one aggregation, which all rules share and which combines before the
+    shuffle; a second one adds the groups up to a single row.
     """
-    aggregates = [F.count(F.lit(1)).alias("n")]
-    lines: list[tuple[Rule, Column]] = []
+    lines: list[tuple[Rule, Column, Column]] = []
+    flags: dict[str, Column] = {}
+    values: dict[int, Column] = {}
+    everything = F.col("n")
     for i, rule in enumerate(rules):
         if rule.kind in ROW_RULES and rule.column in df.columns:
-            aggregates.append(F.count_if(violation(rule)).alias(f"f{i}"))
-            lines.append((rule, F.col(f"f{i}")))
+            flags[f"f{i}"] = violation(rule).cast("long")
+            lines.append((rule, F.col(f"f{i}"), everything))
         elif rule.kind in ROW_RULES or rule.kind == "exists":
-            lines.append((rule, F.lit(0 if rule.column in df.columns else 1).cast("long")))
+            lines.append((rule, F.lit(0 if rule.column in df.columns else 1).cast("long"), everything))
         elif rule.kind == "row_count":
             low, high = rule.args["low"], rule.args["high"]
             bad = F.lit(False)
             bad = bad | (F.col("n") < low) if low is not None else bad
             bad = bad | (F.col("n") > high) if high is not None else bad
-            lines.append((rule, bad.cast("long")))
-        elif rule.kind != "unique":
+            lines.append((rule, bad.cast("long"), everything))
+        elif rule.kind == "unique":
+            value = F.struct(F.lit(i).alias("rule"), F.col(rule.column).cast("string").alias("value"))
+            values[i] = F.when(F.expr(rule.where), value) if rule.where else value
+            lines.append((rule, F.col(f"r{i}"), F.col(f"t{i}")))
+        else:
             raise ValueError(f"unknown rule kind {rule.kind}")
-    entries = F.array(
-        *[F.struct(F.lit(r.name).alias("rule"), failing.alias("failing"), F.col("n").alias("total")) for r, failing in lines]
+    own = F.struct(F.lit(-1).alias("rule"), F.lit(None).cast("string").alias("value"))
+    checked = df.select(F.explode(F.array_compact(F.array(own, *values.values()))).alias("e"), *[c.alias(f) for f, c in flags.items()])
+    is_row = F.col("rule") == -1
+    per_value = checked.select("e.*", *flags).groupBy("rule", "value").agg(
+        F.count(F.lit(1)).alias("c"), *[F.sum(F.when(is_row, F.col(f))).alias(f) for f in flags]
+    )
+
+    def added(condition: Column, what: str) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col(what))), F.lit(0))
+
+    repeated = F.col("value").isNotNull() & (F.col("c") > 1)
+    summed = per_value.agg(
+        added(is_row, "c").alias("n"),
+        *[added(is_row, f).alias(f) for f in flags],
+        *[added((F.col("rule") == i) & repeated, "c").alias(f"r{i}") for i in values],
+        *[added(F.col("rule") == i, "c").alias(f"t{i}") for i in values],
     )
-    results = []
-    if lines:
-        results.append(df.agg(*aggregates).select(F.inline(entries)))
-    for rule in rules:
-        if rule.kind == "unique":
-            results.append(_unique_result(df, rule))
-    checked = reduce(DataFrame.unionByName, results)
-    return checked.select("rule", (F.col("failing") == 0).alias("passed"), "failing", "total")
-
-
-def _unique_result(df: DataFrame, rule: Rule) -> DataFrame:
-    rows = df.where(rule.where) if rule.where else df
-    per_value = rows.groupBy(F.col(rule.column).alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    repeated = F.col("v").isNotNull() & (F.col("c") > 1)
-    return per_value.agg(
-        F.coalesce(F.sum(F.when(repeated, F.col("c"))), F.lit(0)).alias("failing"),
-        F.coalesce(F.sum("c"), F.lit(0)).alias("total"),
-    ).select(F.lit(rule.name).alias("rule"), "failing", "total")
+    entries = F.array(*[F.struct(F.lit(r.name).alias("rule"), failing.alias("failing"), total.alias("total")) for r, failing, total in lines])
+    return summed.select(F.inline(entries)).select("rule", (F.col("failing") == 0).alias("passed"), "failing", "total")
 
 
 def success_rate(results: DataFrame) -> DataFrame:

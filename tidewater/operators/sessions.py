@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions import complete_minutes, complete_seconds, surrogate_key
+from tidewater.operators.ranking import top_per_group
 from tidewater.operators.timecells import CELL, cell_of
 
 
@@ -109,6 +110,22 @@ def session_facts(events: DataFrame, gap_minutes: int = 30, with_sequence: bool
     return out
 
 
+def last_items(events: DataFrame, gap_minutes: int = 30, max_items: int = 50, min_length: int = 1) -> DataFrame:
+    """(session_sk, user_id, items): the last ``max_items`` items of every session that has ``min_length``, in order.
+
+    Every task keeps the last items per session before the shuffle, so a session
+    of any length arrives as at most ``max_items`` rows a task and never as one array.
+    """
+    if min_length > max_items:
+        raise ValueError("min_length is above max_items")
+    group = ["user_id", "session_num"]
+    items = tag_sessions(events, gap_minutes).where(F.col("product_id").isNotNull()).select(*group, "event_ts", "event_id", "product_id")
+    newest = top_per_group(items, group, [F.col("event_ts").desc(), F.col("event_id").desc()], max_items)
+    in_order = F.array_sort(F.collect_list(F.struct("event_ts", "event_id", "product_id")))
+    rows = newest.groupBy(*group).agg(in_order["product_id"].alias("items")).where(F.size("items") >= min_length)
+    return rows.select(surrogate_key(*group).alias("session_sk"), "user_id", "items")
+
+
 def item_transitions(events: DataFrame, gap_minutes: int = 30) -> DataFrame:
     """Consecutive item pairs inside sessions: user, session, item, next item.
 

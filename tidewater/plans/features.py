@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions import fractional_days, guarded_ratio, last_days, last_items
-from tidewater.operators.asof import asof_join, latest_features
+from tidewater.operators.asof import Source, asof_join, asof_join_many, latest_features
 from tidewater.operators.joins import lookup
 from tidewater.operators.latest import require_columns
 from tidewater.operators.timecells import DAY, HOUR, with_prior_totals, with_trailing_count
@@ -323,6 +323,19 @@ class FeatureView:
         return latest_features(source.select(self.entity, self.event_time, *self.features), self.entity, self.event_time, ids)
 
 
+def historical_features(spine: DataFrame, spine_time: str, views: Sequence[tuple[FeatureView, DataFrame]]) -> DataFrame:
+    """Point-in-time values of several views (with their source tables): one pass over the spine per entity key."""
+    out = spine
+    for entity in dict.fromkeys(view.entity for view, _ in views):
+        sources = []
+        for view, source in views:
+            if view.entity == entity:
+                view.check(source)
+                sources.append(Source(view.name, source, view.event_time, view.features, view.ttl_seconds))
+        out = asof_join_many(out, sources, entity, spine_time)
+    return out
+
+
 # Lifetimes of the declared views, features named as in the tables here.
 USER_CHURN_VIEW = FeatureView(
     "user_churn_features",

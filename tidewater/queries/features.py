@@ -9,9 +9,10 @@ from tidewater.operators.timecells import DAY
 from tidewater.plans import dashboards as D
 from tidewater.plans import features as FE
 from tidewater.plans import marts as M
+from tidewater.plans.star import fact_sessions
 from tidewater.queries import customers as CU
 from tidewater.queries.oracle import sessions_sql, sql
-from tidewater.queries.registry import as_of, joined, query, rounded
+from tidewater.queries.registry import as_of, joined, oracle_of, query, rounded
 
 
 def paid(c):
@@ -311,6 +312,42 @@ def asof_feature_join(c):
     return view.historical(spine, "event_ts", feature_log(c))
 
 
+_VIEWS = {
+    "churn": ("user_id", "label_date", "7 DAY", FE.USER_CHURN_VIEW),
+    "rfm": ("user_id", "snapshot_date", "1 DAY", FE.USER_RFM_VIEW),
+    "session": ("user_id", "session_end", "2 HOUR", FE.SESSION_VIEW),
+    "product": ("product_id", "updated_at", "1 DAY", FE.PRODUCT_VIEW),
+}
+
+
+def _historical_sql():
+    joins, columns = [], ["s.event_id", "s.user_id", "s.product_id", "s.event_ts"]
+    for name, (key, ts, ttl, view) in _VIEWS.items():
+        joins.append(f"ASOF LEFT JOIN {name}_rows {name} ON s.{key} = {name}.{key} AND s.event_ts >= {name}.{ts}")
+        columns += [f"CASE WHEN {name}.{ts} >= s.event_ts - INTERVAL {ttl} THEN {name}.{c} END AS {view.name}__{'ts' if c == ts else c}" for c in (ts, *view.features)]
+    days = "(SELECT unnest([TIMESTAMP '2024-01-03', TIMESTAMP '2024-01-12', TIMESTAMP '2024-01-20']) AS snap)"
+    known = f"""churn_rows AS (SELECT * EXCLUDE (snap, label_date), snap AS label_date FROM ({oracle_of("churn_features_doc")}), {days}),
+        rfm_rows AS (SELECT *, snap AS snapshot_date FROM ({oracle_of("rfm_scores")}), {days}),
+        product_rows AS (SELECT *, TIMESTAMP '2024-01-01' + to_days(CAST(product_id % 20 AS INTEGER)) AS updated_at FROM products),
+        session_rows AS (SELECT * FROM sess)"""
+    return sql("ev products", f"SELECT {', '.join(columns)} FROM (SELECT * FROM ev WHERE event_type = 'clicks') s {' '.join(joins)}", f"{sessions_sql(30)}, {known}")
+
+
+@query("historical_features", _historical_sql())
+def historical_features(c):
+    """Clicks with what the four declared views knew at the time: two passes, one by user for three views, one by product."""
+    days = F.explode(F.array(*[F.lit(d).cast("timestamp") for d in ("2024-01-03", "2024-01-12", "2024-01-20")]))
+    products = c.products().withColumn("updated_at", F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(days=(F.col("product_id") % 20).cast("int")))
+    sources = [
+        (FE.USER_CHURN_VIEW, CU.churn_features_doc(c).drop("label_date").withColumn("label_date", days)),
+        (FE.USER_RFM_VIEW, CU.rfm_scores(c).withColumn("snapshot_date", days)),
+        (FE.SESSION_VIEW, fact_sessions(c.events())),
+        (FE.PRODUCT_VIEW, products),
+    ]
+    spine = c.events().where("event_type = 'clicks'").select("event_id", "user_id", "product_id", "event_ts")
+    return FE.historical_features(spine, "event_ts", sources)
+
+
 @query(
     "latest_features",
     sql(

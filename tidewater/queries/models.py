@@ -342,6 +342,28 @@ def als_event_recommendations(c):
     return ML.recommend_by_key(triples, "user_id", "product_id", weight, 10, unseen=True, rank=128, iterations=50, reg=0.01, alpha=40.0)
 
 
+@query(
+    "stratified_split",
+    sql(
+        "pays",
+        """SELECT payment_id, failed_label, is_test, round(CASE WHEN NOT is_test THEN CASE WHEN failed_label = 1 THEN w ELSE 1.0 END END + 1e-9, 6) AS weight
+        FROM marked, (SELECT greatest(1.0, count(*) FILTER (failed_label = 0) / count(*) FILTER (failed_label = 1)) AS w FROM marked WHERE NOT is_test)""",
+        """marked AS (SELECT payment_id, failed_label, row_number() OVER (PARTITION BY failed_label ORDER BY h)
+            <= floor(count(*) OVER (PARTITION BY failed_label) * 0.25 + 0.5) AS is_test
+        FROM (SELECT payment_id, CASE WHEN status = 'FAILED' THEN 1 ELSE 0 END AS failed_label,
+              CAST('0x' || substr(md5(payment_id || ':42'), 1, 15) AS BIGINT) AS h FROM pays))""",
+    ),
+    ints="failed_label",
+)
+def stratified_split(c):
+    """Payments dealt into training and test rows per class, with the class weights of the training rows."""
+    rows = c.payments().select("payment_id", F.when(F.col("status") == "FAILED", 1).otherwise(0).alias("failed_label"))
+    marked = ML.stratified_split(rows, "payment_id", "failed_label", 0.25)
+    train = marked.where(~F.col("is_test"))
+    weight = F.when(~F.col("is_test"), ML.class_weight(train, "failed_label"))
+    return rounded(marked.withColumn("weight", weight), weight=6)
+
+
 @query("churn_scored")
 def churn_scored(c):
     data = pin(FE.churn_dataset(user_feature_table(c), days=60))

@@ -52,6 +52,11 @@ def _runner(entry: Registered) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def oracle_of(key: str) -> str:
+    """The oracle of a query registered before, to build on."""
+    return _QUERIES[key].sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {key: _runner(entry) for key, entry in _QUERIES.items()}
 

@@ -6,7 +6,7 @@ from tidewater.plans import dashboards as D
 from tidewater.plans import features as FE
 from tidewater.plans import marts as M
 from tidewater.plans.star import session_values
-from tidewater.operators.sessions import session_facts
+from tidewater.operators.sessions import last_items, session_facts
 from tidewater.plans.schemas import STOCK_ALERT
 from tidewater.queries.oracle import sessions_sql, sql
 from tidewater.queries.registry import as_of, joined, query, rounded
@@ -188,7 +188,7 @@ def table_counts(c):
     ),
 )
 def training_sequences(c):
-    sequences = FE.training_sequences(session_facts(c.events(), 720))
+    sequences = last_items(c.events(), 720, max_items=50, min_length=2)
     return sequences.select("session_sk", "user_id", joined("items").alias("items"))
 
 
