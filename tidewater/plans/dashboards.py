@@ -148,21 +148,23 @@ def payment_method_mix(payments: DataFrame) -> DataFrame:
     )
 
 
-def funnel_counts(orders: DataFrame, payments: DataFrame) -> DataFrame:
-    """Orders and payments by outcome in one row, one pass per table."""
-    placed = orders.agg(F.count(F.lit(1))).scalar()
+def funnel_counts(orders: DataFrame, payments: DataFrame, users: DataFrame, products: DataFrame, buyers: DataFrame) -> DataFrame:
+    """Users, products, active buyers, orders, and payments by outcome in one row, one pass per table."""
+    size = lambda df: df.agg(F.count(F.lit(1))).scalar()
     return payments.agg(
         F.count(F.lit(1)).alias("payments"),
         F.count_if(F.col("status") == "CONFIRMED").alias("paid"),
         F.count_if(F.col("status") == "FAILED").alias("failed"),
-    ).withColumn("orders", placed)
+    ).withColumns({"orders": size(orders), "users": size(users), "products": size(products), "active_buyers": size(buyers)})
 
 
 def notifications_pivot(daily: DataFrame, kinds: Sequence[str]) -> DataFrame:
     return daily.groupBy("notif_date").pivot("event_type", list(kinds)).agg(F.sum("notifications")).na.fill(0)
 
 
-def dataset_stats(churn: DataFrame, payments: DataFrame, demand: DataFrame, matrix: DataFrame) -> DataFrame:
+def dataset_stats(
+    churn: DataFrame, payments: DataFrame, demand: DataFrame, matrix: DataFrame, users: DataFrame, products: DataFrame
+) -> DataFrame:
     """Sizes and positives of the training tables in one row."""
     pay = payments.agg(F.count(F.lit(1)).alias("n"), F.sum("failed_label").alias("p"))
     return churn.agg(F.count(F.lit(1)).alias("churn_rows"), F.sum("churn_label").alias("churn_positives")).withColumns(
@@ -171,6 +173,8 @@ def dataset_stats(churn: DataFrame, payments: DataFrame, demand: DataFrame, matr
             "payment_failures": pay.select("p").scalar(),
             "demand_days": demand.agg(F.count(F.lit(1))).scalar(),
             "interactions": matrix.agg(F.count(F.lit(1))).scalar(),
+            "users": users.agg(F.count(F.lit(1))).scalar(),
+            "products": products.agg(F.count(F.lit(1))).scalar(),
         }
     )
 

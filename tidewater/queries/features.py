@@ -68,13 +68,15 @@ def payment_method_mix(c):
 @query(
     "funnel_counts",
     sql(
-        "lines pays",
-        "SELECT (SELECT count(*) FROM lines) AS orders, count(*) AS payments, count(*) FILTER (status = 'CONFIRMED') AS paid, "
+        "lines pays rfmraw users products",
+        "SELECT (SELECT count(*) FROM lines) AS orders, (SELECT count(*) FROM users) AS users, (SELECT count(*) FROM products) AS products, "
+        "(SELECT count(*) FROM rfmraw) AS active_buyers, count(*) AS payments, count(*) FILTER (status = 'CONFIRMED') AS paid, "
         "count(*) FILTER (status = 'FAILED') AS failed FROM pays",
     ),
 )
 def funnel_counts(c):
-    return D.funnel_counts(c.order_lines(), c.payments())
+    lines = c.order_lines()
+    return D.funnel_counts(lines, c.payments(), c.users(), c.products(), M.customer_rfm_raw(lines, as_of(c.orders())))
 
 
 _UF = {"monetary": 2, "avg_order_value": 4, "payment_fail_rate": 6, "avg_payment_amount": 4, "recency_days": 6, "tenure_days": 6, "frequency_per_week": 6}
@@ -380,14 +382,14 @@ def top_items_per_user(c):
         "ufeat paydata demand matrix",
         "SELECT count(*) AS churn_rows, CAST(sum(CASE WHEN recency_days > 14 THEN 1 ELSE 0 END) AS BIGINT) AS churn_positives, "
         "(SELECT count(*) FROM paydata) AS payment_rows, (SELECT CAST(sum(failed_label) AS BIGINT) FROM paydata) AS payment_failures, "
-        "(SELECT count(*) FROM demand) AS demand_days, (SELECT count(*) FROM matrix) AS interactions FROM ufeat",
+        "(SELECT count(*) FROM demand) AS demand_days, (SELECT count(*) FROM matrix) AS interactions, "
+        "(SELECT count(*) FROM ufeat) AS users, (SELECT count(*) FROM part) AS products FROM ufeat",
     ),
 )
 def dataset_stats(c):
     lines = c.order_lines()
-    return D.dataset_stats(
-        FE.churn_dataset(user_feature_table(c)), FE.payment_dataset(paid(c)), FE.daily_demand(lines), FE.user_item_matrix(lines)
-    )
+    users, products = user_feature_table(c), FE.product_features(c.products(), lines)
+    return D.dataset_stats(FE.churn_dataset(users), FE.payment_dataset(paid(c)), FE.daily_demand(lines), FE.user_item_matrix(lines), users, products)
 
 
 def notifications(c):

@@ -364,11 +364,16 @@ def stratified_split(c):
     return rounded(marked.withColumn("weight", weight), weight=6)
 
 
+CHURN_SEEN = ("recency_days", "frequency_30d", "frequency_90d", "monetary_30d", "monetary_90d", "avg_order_value", "days_since_account_creation", "return_rate", "recency_ratio")
+
+
 @query("churn_scored")
 def churn_scored(c):
-    data = pin(FE.churn_dataset(user_feature_table(c), days=60))
-    _, out = ML.fit_boosted(data, FE.CHURN_FEATURES, "churn_label", "buyer_id")
-    return rounded(out.select("buyer_id", "churn_label", "probability", "risk", "is_test"), probability=4)
+    """Features up to a day, label from the 60 days after it: what the label looks at is no feature."""
+    day = F.lit("1999-06-01").cast("timestamp")
+    data = pin(M.churn_features_documented(c.orders(), c.users(), day, returned=("pending",)))
+    _, out = ML.fit_boosted(data, CHURN_SEEN, "churn_label", "user_id")
+    return rounded(out.select("user_id", "churn_label", "probability", "risk", "is_test"), probability=4)
 
 
 @query("payment_risk_scored")

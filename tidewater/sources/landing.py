@@ -111,7 +111,8 @@ def land_csv(spark: SparkSession, landing: str, bronze: str, file_type: str, dat
 
     A file with a header and no rows has no failing row, so it is accepted. Files
     of a type without a model are loaded unchecked, as text, with ``checked``
-    false. A missing or empty folder accepts nothing. Below the day a file has
+    false; a column of theirs named ``checked`` or ``event_date`` becomes
+    ``data_checked`` or ``data_event_date``. A missing or empty folder accepts nothing. Below the day a file has
     its own folder: landing it again replaces it and leaves the day's others.
     """
     folder = f"{landing}/{file_type}"
@@ -123,6 +124,7 @@ def land_csv(spark: SparkSession, landing: str, bronze: str, file_type: str, dat
     if modelled:
         rejected = file_verdicts(rows, file_type).where("not accepted").select(FILE)
         files, rows = (df.join(rejected, FILE, "left_anti") for df in (files, rows))
+    rows = rows.withColumnsRenamed({c: f"data_{c}" for c in rows.columns if c.lower() in ("checked", "event_date")})
     day = rows.withColumns({"checked": F.lit(modelled), "event_date": F.lit(date).cast("date")})
     if len(day.columns) > 3:  # else not one file has a column
         overwrite_partitions(day, f"{bronze}/{file_type}", ["event_date", FILE])
