@@ -32,7 +32,7 @@ from tidewater.llm.common import release, texts
 from tidewater.session import work_dir
 
 #: Text whose distinct pieces are encoded together.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: Pieces encoded as one text, and such texts handed to an encoder at a time.
 ROW = 64
 CHUNK = 500
