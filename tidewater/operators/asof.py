@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -10,56 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import micros
 from tidewater.operators.latest import latest_per_key, require_columns
-from tidewater.operators.timecells import CELL, DAY, cell_of
-
-
-def asof_join(
-    spine: DataFrame,
-    features: DataFrame,
-    entity: str,
-    spine_ts: str,
-    feature_ts: str,
-    columns: Sequence[str],
-    ttl_seconds: int | None = None,
-    cell_seconds: int = DAY,
-) -> DataFrame:
-    """Each spine row with the entity's latest feature row at or before its time.
-
-    A feature older than the TTL gives nulls. Both sides are cut into
-    (entity, time cell) groups; the latest feature of earlier cells is carried
-    over a summary with one row per cell, so no entity is held by one task.
-    """
-    require_columns(spine, [entity, spine_ts], "asof_join spine")
-    require_columns(features, [entity, feature_ts, *columns], "asof_join features")
-    value = F.struct(micros(feature_ts).alias("at"), F.col(feature_ts).alias("fts"), F.struct(*columns).alias("v"))
-    facts = features.where(F.col(entity).isNotNull() & F.col(feature_ts).isNotNull()).select(
-        entity, cell_of(feature_ts, cell_seconds).alias(CELL), micros(feature_ts).alias("_at"), value.alias("_f")
-    )
-    rows = spine.select(
-        entity, cell_of(spine_ts, cell_seconds).alias(CELL), micros(spine_ts).alias("_at"), F.struct(*spine.columns).alias("_s")
-    )
-    per_cell = facts.groupBy(entity, CELL).agg(F.max("_f").alias("_f"))
-    asked = rows.select(entity, CELL).distinct()
-    timeline = asked.unionByName(per_cell, allowMissingColumns=True).groupBy(entity, CELL).agg(F.max("_f").alias("_f"))
-    earlier = Window.partitionBy(entity).orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
-    carried = timeline.select(entity, CELL, F.last("_f", ignorenulls=True).over(earlier).alias("_far"))
-    # Spine rows come last at equal times; of features at one time the greatest is last.
-    inside = Window.partitionBy(entity, CELL).orderBy("_at", "_side", "_f").rowsBetween(Window.unboundedPreceding, 0)
-    matched = (
-        rows.withColumn("_side", F.lit(1))
-        .unionByName(facts.withColumn("_side", F.lit(0)), allowMissingColumns=True)
-        .withColumn("_near", F.last("_f", ignorenulls=True).over(inside))
-        .where("_side = 1")
-        .drop("_f")
-        .join(carried, [entity, CELL], "left")
-    )
-    hit = F.coalesce("_near", "_far")
-    if ttl_seconds is not None:
-        hit = F.when(hit["at"] >= F.col("_at") - ttl_seconds * 1_000_000, hit)
-    return (
-        matched.withColumn("_hit", hit)
-        .select("_s.*", F.col("_hit.fts").alias("feature_ts"), *[F.col(f"_hit.v.{c}").alias(c) for c in columns])
-    )
+from tidewater.operators.timecells import CELL, CELL_ROWS, DAY, cell_of, summarised
 
 
 @dataclass(frozen=True)
@@ -73,29 +24,39 @@ class Source:
     ttl_seconds: int | None = None
 
 
-def asof_join_many(spine: DataFrame, sources: Sequence[Source], entity: str, spine_ts: str, cell_seconds: int = DAY) -> DataFrame:
+def asof_join_many(
+    spine: DataFrame, sources: Sequence[Source], entity: str, spine_ts: str, cell_seconds: int = DAY, cell_rows: int = CELL_ROWS
+) -> DataFrame:
     """Each spine row with the latest valid feature row of every source at or before its time.
 
     Columns come out as ``<source>__<column>``, the feature time as
-    ``<source>__ts``. All sources share one order of (entity, time cell): the
-    spine is moved once, however many sources there are, and the latest row of
-    earlier cells is carried per source over one summary. A feature struct
-    starts with its time, so the greatest up to a row is the latest.
+    ``<source>__ts``. All sources share one order, so the spine is moved once.
     """
-    require_columns(spine, [entity, spine_ts], "asof_join_many spine")
+    return _joined(spine, sources, entity, spine_ts, cell_seconds, cell_rows, lambda source, column: f"{source}__{column or 'ts'}")
+
+
+def _joined(
+    spine: DataFrame, sources: Sequence[Source], entity: str, spine_ts: str, cell_seconds: int, cell_rows: int, named: Callable[[str, str], str]
+) -> DataFrame:
+    """Spine and features in one order of (entity, time cell).
+
+    The latest feature of earlier cells is carried per source over a summary
+    with one row per cell, so no entity is held by one task. A feature struct
+    starts with its time, so the greatest up to a row is the latest, and of
+    several at one time the greatest.
+    """
+    require_columns(spine, [entity, spine_ts], "as-of spine")
     f = [f"_f{i}" for i in range(len(sources))]
-    rows = spine.select(entity, cell_of(spine_ts, cell_seconds).alias(CELL), micros(spine_ts).alias("_at"), F.struct(*spine.columns).alias("_s"))
-    line, facts = rows.withColumn("_side", F.lit(1)), None
+    line = spine.select(
+        entity, cell_of(spine_ts, cell_seconds).alias(CELL), micros(spine_ts).alias("_at"), F.lit(1).alias("_side"), F.struct(*spine.columns).alias("_s")
+    )
     for name, source in zip(f, sources, strict=True):
-        require_columns(source.rows, [entity, source.ts, *source.columns], f"asof_join_many {source.name}")
+        require_columns(source.rows, [entity, source.ts, *source.columns], f"as-of source {source.name}")
         value = F.struct(micros(source.ts).alias("at"), F.col(source.ts).alias("ts"), F.struct(*source.columns).alias("v"))
         known = source.rows.where(F.col(entity).isNotNull() & F.col(source.ts).isNotNull())
-        known = known.select(entity, cell_of(source.ts, cell_seconds).alias(CELL), micros(source.ts).alias("_at"), value.alias(name))
-        facts = known if facts is None else facts.unionByName(known, allowMissingColumns=True)
-    line = line.unionByName(facts.withColumn("_side", F.lit(0)), allowMissingColumns=True)
-    per_cell = facts.groupBy(entity, CELL).agg(*[F.max(c).alias(c) for c in f])
-    timeline = rows.select(entity, CELL).distinct().unionByName(per_cell, allowMissingColumns=True)
-    timeline = timeline.groupBy(entity, CELL).agg(*[F.max(c).alias(c) for c in f])
+        known = known.select(entity, cell_of(source.ts, cell_seconds).alias(CELL), micros(source.ts).alias("_at"), F.lit(0).alias("_side"), value.alias(name))
+        line = line.unionByName(known, allowMissingColumns=True)
+    line, timeline = summarised(line, entity, F.col("_at"), [F.max(c).alias(c) for c in f], cell_rows)
     earlier = Window.partitionBy(entity).orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
     carried = timeline.select(entity, CELL, *[F.max(c).over(earlier).alias(f"{c}_far") for c in f])
     inside = Window.partitionBy(entity, CELL).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
@@ -107,10 +68,29 @@ def asof_join_many(spine: DataFrame, sources: Sequence[Source], entity: str, spi
         if source.ttl_seconds is not None:
             hit = F.when(hit["at"] >= F.col("_at") - source.ttl_seconds * 1_000_000, hit)
         matched = matched.withColumn(name, hit)
-        out += [F.col(f"{name}.ts").alias(f"{source.name}__ts"), *[F.col(f"{name}.v.{c}").alias(f"{source.name}__{c}") for c in source.columns]]
+        out += [F.col(f"{name}.ts").alias(named(source.name, "")), *[F.col(f"{name}.v.{c}").alias(named(source.name, c)) for c in source.columns]]
     return matched.select("_s.*", *out)
 
 
+def asof_join(
+    spine: DataFrame,
+    features: DataFrame,
+    entity: str,
+    spine_ts: str,
+    feature_ts: str,
+    columns: Sequence[str],
+    ttl_seconds: int | None = None,
+    cell_seconds: int = DAY,
+    cell_rows: int = CELL_ROWS,
+) -> DataFrame:
+    """Each spine row with the entity's latest feature row at or before its time, as ``feature_ts`` and ``columns``.
+
+    A feature older than the TTL gives nulls.
+    """
+    source = Source("", features, feature_ts, tuple(columns), ttl_seconds)
+    return _joined(spine, [source], entity, spine_ts, cell_seconds, cell_rows, lambda source, column: column or "feature_ts")
+
+
 def latest_features(features: DataFrame, entity: str, feature_ts: str, ids: DataFrame | None = None) -> DataFrame:
     """Newest feature row per entity, optionally only for the given ids."""
     rows = features if ids is None else features.join(ids.select(entity).distinct(), entity, "left_semi")

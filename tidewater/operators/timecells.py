@@ -6,6 +6,12 @@ fixed width. Work inside a cell is a window over (entity, cell). What a cell
 needs from earlier or later ones comes from a summary with one row per
 (entity, cell): it is aggregated map-side, so its size depends on the time
 span and not on the number of rows.
+
+A cell may still be hot: one entity with a third of all rows in an hour. The
+summary says so. Then the times that cut the hot cells into equal parts are
+taken from a mergeable quantile sketch and the cells concerned become many, so
+that no task holds more than about ``cell_rows`` rows of one entity; only rows
+of one entity at one single instant cannot be parted by time.
 """
 
 from __future__ import annotations
@@ -16,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions import micros
+from tidewater.session import pin
 
 DAY = 86_400
 HOUR = 3_600
@@ -28,6 +35,51 @@ def cell_of(ts: Column | str, seconds: int) -> Column:
     return F.floor(micros(ts) / F.lit(seconds * 1_000_000)).cast("long")
 
 
+#: Rows of an entity that may share a cell before the cell is cut.
+CELL_ROWS = 500_000
+#: Parts a hot cell is cut into.
+PARTS = 1024
+_WAY = 32  # parts are found in two steps of this many comparisons
+#: Hot cells whose cuts may be broadcast; more are joined by a shuffle.
+BROADCAST_CELLS = 500
+
+
+def _cut(celled: DataFrame, hot: DataFrame, few: bool, entity: str, at: Column) -> DataFrame:
+    """Rows with every cell numbered in steps of PARTS, those in ``hot`` cells by the part their time is in."""
+    names = hot.select(F.struct(entity).alias("_hot_key"), F.col(CELL).alias("_hot_cell"))
+
+    def in_hot(other: DataFrame, how: str) -> DataFrame:
+        return celled.join(F.broadcast(other) if few else other, (F.struct(entity) == F.col("_hot_key")) & (F.col(CELL) == F.col("_hot_cell")), how)
+
+    shares = [i / PARTS for i in range(1, PARTS)]
+    cuts = in_hot(names, "inner").groupBy("_hot_key", "_hot_cell").agg(F.percentile_approx(at, shares, 20 * PARTS).alias("_cuts"))
+    marked = in_hot(pin(cuts), "left")
+    coarse = F.size(F.filter(F.transform(F.sequence(F.lit(1), F.lit(PARTS // _WAY - 1)), lambda i: F.element_at("_cuts", i * _WAY)), lambda c: c < at))
+    fine = F.size(F.filter(F.slice("_cuts", F.col("_coarse") * _WAY + 1, F.lit(_WAY - 1)), lambda c: c < at))
+    marked = marked.withColumn("_coarse", F.when(F.col("_cuts").isNotNull(), coarse))
+    part = F.coalesce(F.col("_coarse") * _WAY + fine, F.lit(0))
+    return marked.withColumn(CELL, F.col(CELL) * PARTS + part).drop("_hot_key", "_hot_cell", "_cuts", "_coarse")
+
+
+def summarised(celled: DataFrame, entity: str, at: Column, aggregates: Sequence[Column], cell_rows: int = CELL_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Rows with cells of bounded size, and per (entity, cell) the aggregates and the number of ``_rows``.
+
+    ``at`` is the time in microseconds. The summary is pinned: it is small, read
+    more than once, and says whether a cell has to be cut.
+    """
+
+    def per_cell(rows: DataFrame) -> DataFrame:
+        return pin(rows.groupBy(entity, CELL).agg(F.count(F.lit(1)).alias("_rows"), *aggregates))
+
+    summary = per_cell(celled)
+    hot = summary.where(F.col("_rows") > cell_rows).select(entity, CELL)
+    n = hot.count()
+    if n:
+        celled = _cut(celled, hot, n <= BROADCAST_CELLS, entity, at)
+        summary = per_cell(celled)
+    return celled, summary
+
+
 def with_prior_totals(
     df: DataFrame,
     entity: str,
@@ -35,6 +87,7 @@ def with_prior_totals(
     order: Sequence[str],
     measures: Mapping[str, Column],
     cell_seconds: int = DAY,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Adds, per row, the sum of each measure over the entity's earlier rows.
 
@@ -42,7 +95,7 @@ def with_prior_totals(
     """
     raw = {name: f"_m_{name}" for name in measures}
     celled = df.withColumns({CELL: cell_of(ts, cell_seconds), **{raw[n]: m for n, m in measures.items()}})
-    totals = celled.groupBy(entity, CELL).agg(*[F.sum(c).alias(c) for c in raw.values()])
+    celled, totals = summarised(celled, entity, micros(ts), [F.sum(c).alias(c) for c in raw.values()], cell_rows)
     earlier_cells = Window.partitionBy(entity).orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(entity, CELL, *[F.sum(raw[n]).over(earlier_cells).alias(f"_c_{n}") for n in measures])
     same_cell = Window.partitionBy(entity, CELL).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
@@ -53,13 +106,18 @@ def with_prior_totals(
     return out.drop(CELL, *raw.values(), *[f"_c_{n}" for n in measures])
 
 
-def with_trailing_count(df: DataFrame, entity: str, ts: str, seconds: int, name: str) -> DataFrame:
+def with_trailing_count(df: DataFrame, entity: str, ts: str, seconds: int, name: str, cell_rows: int = CELL_ROWS) -> DataFrame:
     """Adds the number of the entity's rows in the ``seconds`` up to and with each row.
 
     Cells are as wide as the look-back, so a row needs its own cell and the one
-    before: (entity, ts) pairs are sent on to the next cell as context.
+    before: (entity, ts) pairs are sent on to the next cell as context. Where a
+    cell is hot, the count is the difference of two running totals instead, of
+    the rows up to now and of those up to the start of the look-back.
     """
     celled = df.withColumns({CELL: cell_of(ts, seconds), "_at": micros(ts), "_own": F.lit(True)})
+    counts = celled.groupBy(entity, CELL).agg(F.count(F.lit(1)).alias("_rows"))
+    if not counts.where(F.col("_rows") > cell_rows).isEmpty():
+        return _by_running_totals(df, entity, ts, seconds, name, cell_rows)
     context = celled.select(entity, "_at", (F.col(CELL) + 1).alias(CELL), F.lit(False).alias("_own"))
     window = (
         Window.partitionBy(entity, CELL).orderBy("_at").rangeBetween(-seconds * 1_000_000, Window.currentRow)
@@ -72,6 +130,22 @@ def with_trailing_count(df: DataFrame, entity: str, ts: str, seconds: int, name:
     )
 
 
+def _by_running_totals(df: DataFrame, entity: str, ts: str, seconds: int, name: str, cell_rows: int) -> DataFrame:
+    """The trailing count from running totals per instant, whatever one entity does in the look-back."""
+    from tidewater.operators.asof import asof_join
+
+    # The key as a struct: rows without an entity count among themselves, as in the window above.
+    instants = df.groupBy(F.struct(entity).alias("_k"), F.col(ts).alias("_now")).agg(F.count(F.lit(1)).alias("_n"))
+    upto = with_prior_totals(instants.withColumn("_t", F.col("_now").cast("timestamp")), "_k", "_t", ["_t"], {"_before": F.col("_n")}, seconds, cell_rows)
+    upto = pin(upto.select("_k", "_now", "_t", (F.col("_before") + F.col("_n")).alias("_upto")))
+    spine = upto.withColumn("_start", F.timestamp_micros(micros("_t") - (seconds * 1_000_000 + 1)))
+    totals = upto.select("_k", F.col("_t").alias("_then"), F.col("_upto").alias("_gone"))
+    counted = asof_join(spine, totals, "_k", "_start", "_then", ["_gone"], cell_seconds=seconds, cell_rows=cell_rows)
+    counted = counted.select("_k", "_now", (F.col("_upto") - F.coalesce("_gone", F.lit(0))).alias(name))
+    same = (F.struct(entity) == F.col("_k")) & F.col(ts).eqNullSafe(F.col("_now"))
+    return df.join(counted, same).drop("_k", "_now")
+
+
 def with_neighbour(
     df: DataFrame,
     entity: str,
@@ -81,22 +155,22 @@ def with_neighbour(
     name: str,
     after: bool = False,
     cell_seconds: int = DAY,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Adds struct column ``name`` with ``values`` of the entity's previous (or next) row.
 
     The struct is null on the entity's first (or last) row. ``order`` must be total.
     """
     celled = df.withColumn(CELL, cell_of(ts, cell_seconds))
-    inside = Window.partitionBy(entity, CELL).orderBy(*order)
-    across = Window.partitionBy(entity).orderBy(CELL)
     picked = F.struct(*values)
     edge = F.struct(*order, picked.alias("_v"))
+    celled, summary = summarised(celled, entity, micros(ts), [(F.min if after else F.max)(edge).alias("_e")], cell_rows)
+    inside = Window.partitionBy(entity, CELL).orderBy(*order)
+    across = Window.partitionBy(entity).orderBy(CELL)
     if after:
-        summary = celled.groupBy(entity, CELL).agg(F.min(edge).alias("_e"))
         carried = summary.select(entity, CELL, F.lead("_e").over(across)["_v"].alias("_far"))
         near = F.lead(picked).over(inside)
     else:
-        summary = celled.groupBy(entity, CELL).agg(F.max(edge).alias("_e"))
         carried = summary.select(entity, CELL, F.lag("_e").over(across)["_v"].alias("_far"))
         near = F.lag(picked).over(inside)
     return (
