@@ -73,3 +73,13 @@ def test_point_in_time_values(events, cell_rows):
     line = Window.partitionBy("u").orderBy("ts", "side").rowsBetween(Window.unboundedPreceding, 0)
     want = both.withColumn("h", F.max("f").over(line)).where("side = 1").withColumn("h", F.when(F.unix_micros("h.ft") >= at - 900_000_000, F.col("h")))
     same(got.select("id", "feature_ts", "v"), want.select("id", "h.ft", "h.v"))
+
+
+@pytest.mark.parametrize("cell_rows", [30, 10**6])
+def test_runs_of_equal_values(events, cell_rows):
+    rows = events.where("u is not null").withColumn("v", F.col("id") % 3 == 0)
+    got = TC.with_runs(rows, "u", "ts", ["ts", "id"], "v", HOUR, cell_rows)
+    marked = rows.withColumn("p", F.lag("v").over(by_user())).withColumn("s", F.col("p").isNull() | (F.col("p") != F.col("v")))
+    starts = marked.where("s").withColumn("until", F.lead("ts").over(by_user()))
+    want = starts.select("id", "s", "until").unionByName(marked.where("not s").select("id", "s", F.lit(None).cast("timestamp").alias("until")))
+    same(got.select("id", "_starts", "_until"), want)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tidewater.functions import row_hash
 from tidewater.operators import versions
 from tidewater.operators.latest import latest_per_key, require_columns
-from tidewater.operators.timecells import DAY, with_neighbour
+from tidewater.operators.timecells import DAY, with_runs
 
 BUCKET, SIDE, LAST = "_bucket", "_side", "_last_seen"
 OPEN, CLOSED, ECHO = "open", "closed", "echo"
@@ -100,18 +100,11 @@ def read_keyed(spark: SparkSession, path: str) -> DataFrame:
     return versions.read_table(spark, path).drop(BUCKET)
 
 
-def _layout(points: DataFrame, payload: Sequence[str], key: str, cell_seconds: int, held: list[DataFrame]) -> DataFrame:
+def _layout(points: DataFrame, payload: Sequence[str], key: str, cell_seconds: int) -> DataFrame:
     """Versions and echoes of complete sets of change points (key, valid_from, row_hash, payload), with their side."""
-    order = ["valid_from", "row_hash"]
-    marked = with_neighbour(points, key, "valid_from", order, ["row_hash"], "_prev", cell_seconds=cell_seconds).persist()
-    held.append(marked)
-    same = F.col("_prev.row_hash") == F.col("row_hash")
-    starts = marked.where(F.col("_prev").isNull() | ~same).drop("_prev")
-    echoes = marked.where(F.col("_prev").isNotNull() & same)
-    ended = with_neighbour(starts, key, "valid_from", order, ["valid_from"], "_next", after=True, cell_seconds=cell_seconds)
-    end = F.col("_next.valid_from")
-    out = ended.select(*payload, "valid_from", end.alias("valid_to"), "row_hash", F.when(end.isNull(), OPEN).otherwise(CLOSED).alias(SIDE))
-    return out.unionByName(echoes.select(*payload, "valid_from", F.lit(None).cast("timestamp").alias("valid_to"), "row_hash", F.lit(ECHO).alias(SIDE)))
+    runs = with_runs(points, key, "valid_from", ["valid_from", "row_hash"], "row_hash", cell_seconds)
+    side = F.when(~F.col("_starts"), ECHO).when(F.col("_until").isNull(), OPEN).otherwise(CLOSED)
+    return runs.select(*payload, "valid_from", F.col("_until").alias("valid_to"), "row_hash", side.alias(SIDE))
 
 
 def apply_changes(
@@ -173,7 +166,9 @@ def apply_changes(
                     copied.append(old.join(names, key, "left_anti"))
                 points = latest_per_key(points, [key, "valid_from"], ["row_hash"])
             last = last.select(key, LAST).unionByName(mine.select(key, LAST)).groupBy(key).agg(F.max(LAST).alias(LAST))
-        laid = _layout(points, payload, key, cell_seconds, held).withColumn(BUCKET, bucket_of(key, n))
+        points = points.persist()
+        held.append(points)
+        laid = _layout(points, payload, key, cell_seconds).withColumn(BUCKET, bucket_of(key, n))
         current = laid.where(F.col(SIDE) == OPEN).join(last.select(key, LAST), key)
         rows = current.unionByName(laid.where(F.col(SIDE) != OPEN), allowMissingColumns=True).hint("rebalance", SIDE, BUCKET)
         for old in copied:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidewater.functions import row_hash
 from tidewater.operators import versions
 from tidewater.operators.latest import latest_per_key, require_columns
-from tidewater.operators.timecells import DAY, with_neighbour
+from tidewater.operators.timecells import DAY, with_runs
 from tidewater.session import pin
 
 SCD2_COLUMNS = ("valid_from", "valid_to", "is_current", "row_hash")
@@ -49,11 +49,10 @@ def merge_scd2(
     payload = updates.columns
     fresh = add_row_hash(updates, tracked).withColumn("valid_from", F.col(effective_ts)).where(F.col(key).isNotNull())
     fresh = latest_per_key(fresh, [key, "valid_from"], ["row_hash"])
-    kept = None
-    timeline = fresh
+    # What is pinned has the size of the updates; closed versions are only copied, never joined or sorted.
+    fresh = pin(fresh)
+    kept, timeline = None, fresh
     if target is not None:
-        # What is pinned here has the size of the updates; closed versions are only copied, never joined or sorted.
-        fresh = pin(fresh)
         keys = fresh.select(key).distinct()
         current = target.where("is_current")
         touched = pin(current.join(keys, key, "left_semi").select(*payload, "row_hash", "valid_from"))
@@ -61,21 +60,16 @@ def merge_scd2(
         new = fresh.join(known, key, "left").where(F.col("_since").isNull() | (F.col("valid_from") > F.col("_since")))
         timeline = touched.unionByName(new.drop("_since"))
         kept = target.where(~F.col("is_current")).unionByName(current.join(keys, key, "left_anti"))
-    order = ["valid_from", "row_hash"]
-    changes = with_neighbour(timeline, key, "valid_from", order, ["row_hash"], "_prev", cell_seconds=cell_seconds).where(
-        F.col("_prev").isNull() | (F.col("_prev.row_hash") != F.col("row_hash"))
-    )
-    changes = pin(changes.drop("_prev"))
-    versions = with_neighbour(changes, key, "valid_from", order, ["valid_from"], "_next", after=True, cell_seconds=cell_seconds)
-    ends = F.col("_next.valid_from")
+    runs = with_runs(timeline, key, "valid_from", ["valid_from", "row_hash"], "row_hash", cell_seconds)
     high = open_end if open_end is not None else F.lit(None)
-    opened = versions.select(
+    opened = runs.where("_starts").select(
         *payload,
         "valid_from",
-        F.coalesce(ends, high).cast("timestamp").alias("valid_to"),
-        ends.isNull().alias("is_current"),
+        F.coalesce("_until", high).cast("timestamp").alias("valid_to"),
+        F.col("_until").isNull().alias("is_current"),
         "row_hash",
     )
+    opened = pin(opened)
     return opened if kept is None else kept.select(*opened.columns).unionByName(opened)
 
 

@@ -178,3 +178,25 @@ def with_neighbour(
         .withColumn(name, F.coalesce(near, "_far"))
         .drop(CELL, "_far")
     )
+
+
+def with_runs(df: DataFrame, entity: str, ts: str, order: Sequence[str], value: str, cell_seconds: int = DAY, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Marks where the value changes along an entity's time line.
+
+    ``_starts`` is true on the first row of every run of equal values, and there
+    ``_until`` is the time the next run starts, null on the last. ``order``
+    starts with ``ts`` and must be total. One shuffle by entity, unless an
+    entity has more than ``cell_rows`` rows: then neighbours are found on cells.
+    ``df`` is read twice.
+    """
+    changed = F.col("_prev").isNull() | (F.col("_prev") != F.struct(value))
+    if df.groupBy(entity).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > cell_rows).isEmpty():
+        line = Window.partitionBy(entity).orderBy(*order)
+        back = Window.partitionBy(entity).orderBy(*[F.col(c).desc() for c in order]).rowsBetween(Window.unboundedPreceding, -1)
+        marked = df.withColumn("_prev", F.lag(F.struct(value)).over(line)).withColumn("_starts", changed)
+        ahead = F.last(F.when(F.col("_starts"), F.col(ts)), ignorenulls=True).over(back)
+        return marked.withColumn("_until", F.when(F.col("_starts"), ahead)).drop("_prev")
+    marked = pin(with_neighbour(df, entity, ts, order, [value], "_prev", cell_seconds=cell_seconds, cell_rows=cell_rows).withColumn("_starts", changed).drop("_prev"))
+    starts = with_neighbour(marked.where("_starts"), entity, ts, order, [ts], "_next", after=True, cell_seconds=cell_seconds, cell_rows=cell_rows)
+    starts = starts.withColumn("_until", F.col("_next")[ts]).drop("_next")
+    return starts.unionByName(marked.where("not _starts"), allowMissingColumns=True)
