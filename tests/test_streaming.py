@@ -95,4 +95,4 @@ def test_monitoring_and_sessions_match_batch_for_closed_windows(spark):
 def test_topic_reader_builds_without_the_connector(spark):
     from tidewater.sources.bronze import topic_reader
 
-    assert topic_reader(spark, "cdc.shop.public.products", "broker:9092", 50_000) is not None
+    assert topic_reader(spark, "cdc.products", "broker:9092", 50_000) is not None

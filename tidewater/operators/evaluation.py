@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import guarded_ratio
 from tidewater.operators.ranking import exact_percentile, with_ntile, with_running_totals
+from tidewater.session import pin
 
 
 def ranking_metrics(recommended: DataFrame, relevant: DataFrame, k: int) -> DataFrame:
@@ -102,7 +103,7 @@ def classification_metrics(df: DataFrame, label: str, score: str, threshold: flo
 
 def best_f1_threshold(df: DataFrame, label: str, score: str) -> DataFrame:
     """Threshold with the best F1 over all distinct scores; the highest one on ties."""
-    steps = _score_steps(df, label, score)
+    steps = pin(_score_steps(df, label, score))  # one row per distinct score, read twice
     positives = steps.agg(F.sum("pos")).scalar()
     swept = with_running_totals(steps, [F.col("score").desc()], {"tp": F.col("pos"), "flagged": F.col("pos") + F.col("neg")})
     f1 = (F.col("tp") * 2.0) / (F.col("flagged") + F.col("positives"))

@@ -78,6 +78,7 @@ def rfm_scores(raw: DataFrame, key: str, tiles: int = 5) -> DataFrame:
     return with_ntile(out, tiles, [F.col("_cents").asc(), F.col(key).asc()], "m_score").drop("_cents")
 
 
+# Both lists of segment rules, first match wins.
 def mart_segments() -> list[tuple[Column, str]]:
     r, f = F.col("r_score"), F.col("f_score")
     return [

@@ -57,18 +57,56 @@ def stream_bronze_rows(c):
     return bronze.groupBy(F.coalesce("cdc_op", F.lit("unreadable")).alias("cdc_op"), "event_date").agg(F.count(F.lit(1)).alias("rows"))
 
 
+# The topic that stands for each kind of sample event.
+TOPICS = {"click": "events.clicks", "view": "events.cart", "signup": "events.search", "purchase": "events.purchase"}
+
+
+def typed_messages(c):
+    """Kafka-shaped messages for all typed topics, with every field their schemas ask for; every 50th is malformed."""
+    key, ts = F.col("event_id"), F.col("ts").cast("timestamp")
+    body = F.to_json(
+        F.struct(
+            key.cast("string").alias("event_id"),
+            F.col("user_id").cast("string").alias("user_id"),
+            F.get_json_object("props", "$.k").alias("product_id"),
+            key.cast("string").alias("order_id"),
+            F.col("value").alias("total_amount"),
+            (key % 9).alias("position"),
+            (key % 5).alias("quantity"),
+            F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("ts"),
+        )
+    )
+    kinds = F.create_map(*[F.lit(x) for pair in TOPICS.items() for x in pair])
+    return c.table("events").where(F.col("event_type").isin(*TOPICS)).select(
+        key.cast("string").cast("binary").alias("key"),
+        F.when(key % 50 == 0, F.lit("{bad")).otherwise(body).cast("binary").alias("value"),
+        kinds[F.col("event_type")].alias("topic"),
+        (key % 4).cast("int").alias("partition"),
+        key.alias("offset"),
+        ts.alias("timestamp"),
+    )
+
+
 @query(
     "stream_typed_events",
-    "SELECT CAST(ts AS DATE) AS event_date, count(*) AS rows, CAST(sum(event_id % 9) AS BIGINT) AS positions FROM events "
-    "WHERE event_id % 50 <> 0 AND event_id % 51 <> 0 AND event_id % 53 <> 0 GROUP BY 1",
+    "SELECT CASE event_type WHEN 'click' THEN 'clicks' WHEN 'view' THEN 'cart' WHEN 'signup' THEN 'search' ELSE 'purchase' END AS topic, "
+    "CAST(ts AS DATE) AS event_date, count(*) AS rows, CAST(sum(event_id) AS BIGINT) AS ids FROM events "
+    "WHERE event_type IN ('click', 'view', 'signup', 'purchase') AND event_id % 50 <> 0 GROUP BY ALL",
 )
 def stream_typed_events(c):
-    root, marks = work_dir(c.spark, "bronze"), work_dir(c.spark, "marks")
-    read = recorded(c, click_messages(c), "topic-clicks")
-    streams = B.stream_typed_topics(read, root, marks, {"events.clicks": CLICK}, trigger_seconds=None)
+    """All four registered topics, each its own stream, started together and awaited."""
+    source, root, marks = work_dir(c.spark, "topics"), work_dir(c.spark, "bronze"), work_dir(c.spark, "marks")
+    typed_messages(c).write.partitionBy("topic").parquet(source)
+    streams = B.stream_typed_topics(lambda topic: replay_topic(c.spark, f"{source}/topic={topic}"), root, marks, trigger_seconds=None)
     B.await_all(c.spark, streams)
-    rows = c.spark.read.parquet(f"{root}/events/clicks").where("event_id is not null and position is not null")
-    return rows.groupBy("event_date").agg(F.count(F.lit(1)).alias("rows"), F.sum("position").alias("positions"))
+    out = None
+    for topic in TOPICS.values():
+        name = topic.split(".")[-1]
+        rows = c.spark.read.parquet(f"{root}/events/{name}").where("event_id is not null and ts is not null")
+        day = rows.groupBy("event_date").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("event_id").cast("long")).alias("ids"))
+        day = day.select(F.lit(name).alias("topic"), "event_date", "rows", "ids")
+        out = day if out is None else out.unionByName(day)
+    return out
 
 
 @query(

@@ -13,14 +13,8 @@ from tidewater.operators.merge import table_exists
 
 log = logging.getLogger(__name__)
 
-# Topic of each captured table and of each domain event.
-CDC_TOPICS = {
-    "products": "cdc.shop.public.products",
-    "payments": "cdc.shop.public.payments",
-    "notifications": "cdc.shop.public.notifications",
-    "users": "cdc.shop.orders.users",
-    "orders": "cdc.shop.orders.orders",
-}
+# The captured tables and the topic of each domain event.
+CAPTURED = ("products", "payments", "notifications", "users", "orders")
 
 DOMAIN_TOPICS = {
     "order_created": "order-created",
@@ -44,10 +38,11 @@ KAFKA_ROW = T.StructType(
 )
 
 
-def cdc_topic(table: str) -> str:
-    if table not in CDC_TOPICS:
-        raise ValueError(f"unknown table '{table}', known: {sorted(CDC_TOPICS)}")
-    return CDC_TOPICS[table]
+def cdc_topic(table: str, prefix: str = "cdc") -> str:
+    """Topic of a captured table below the connector's prefix."""
+    if table not in CAPTURED:
+        raise ValueError(f"unknown table '{table}', known: {sorted(CAPTURED)}")
+    return f"{prefix}.{table}"
 
 
 def topic_reader(spark: SparkSession, topic: str, servers: str, max_per_trigger: int = 100_000) -> DataStreamReader:

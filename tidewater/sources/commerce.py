@@ -176,7 +176,7 @@ class Commerce:
             .select(
                 F.col("o_orderkey").cast("string").cast("binary").alias("key"),
                 F.col("c.body").cast("binary").alias("value"),
-                F.lit("cdc.shop.orders.orders").alias("topic"),
+                F.lit("cdc.orders").alias("topic"),
                 (F.col("o_orderkey") % 8).cast("int").alias("partition"),
                 (F.col("o_orderkey") * 4 + F.col("c.n")).alias("offset"),
                 (F.col("seen") + F.make_dt_interval(mins=F.col("c.n"))).alias("timestamp"),

@@ -73,9 +73,11 @@ def write_bronze_stream(
     return writer.trigger(**trigger).start()
 
 
-def stream_cdc_table(read: Reader, table: str, bronze: str, checkpoints: str, trigger_seconds: int | None = CDC_TRIGGER_SECONDS) -> StreamingQuery:
+def stream_cdc_table(
+    read: Reader, table: str, bronze: str, checkpoints: str, trigger_seconds: int | None = CDC_TRIGGER_SECONDS, prefix: str = "cdc"
+) -> StreamingQuery:
     """One captured table into ``bronze/cdc/<table>``; an unknown table raises ValueError."""
-    raw = read(cdc_topic(table))
+    raw = read(cdc_topic(table, prefix))
     return write_bronze_stream(parse_envelope(raw), f"{bronze}/cdc/{table}", f"{checkpoints}/cdc/{table}", trigger_seconds)
 
 
