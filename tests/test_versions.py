@@ -122,7 +122,7 @@ def brute(spark, rows):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("seed, cuts", [(1, 1), (2, 3), (3, 5)])
+@pytest.mark.parametrize("seed, cuts", [(1, 1), (2, 4)])
 def test_history_is_the_same_for_any_cut_and_order(spark, seed, cuts):
     rng = random.Random(seed)
     rows = [("hot" if rng.random() < 0.4 else f"k{rng.randrange(12)}", rng.choice("ABC"), rng.randrange(900)) for _ in range(250)]

@@ -257,7 +257,7 @@ def user_images(c):
     "shipped_suites",
     sql(
         "users heads products ev",
-        """SELECT * FROM (
+        """SELECT suite, rules, failed, CAST(failing AS BIGINT) AS failing FROM (
         SELECT 'bronze_users' AS suite, 9 AS rules, 0 AS failed, 0 AS failing UNION ALL
         SELECT 'silver_users', 10, CAST(n > 0 AS INT), n FROM (SELECT count(*) AS n FROM users WHERE user_id % 100 = 99) UNION ALL
         SELECT 'silver_orders', 8, CAST(n > 0 AS INT), n FROM (SELECT count(*) AS n FROM heads WHERE total_amount <= 0) UNION ALL
