@@ -6,6 +6,7 @@ from tidewater.functions import risk_band
 from tidewater.operators import evaluation as EV
 from tidewater.operators.ranking import top_per_group
 from tidewater.operators.sessions import item_transitions
+from tidewater.operators.topn import top_by_product
 from tidewater.plans import features as FE
 from tidewater.plans import forecasting as FO
 from tidewater.plans import isolation
@@ -136,6 +137,39 @@ def als_recommendations(c):
     return ML.with_fallback(buyers, recs, popular, "buyer_id", "product_id")
 
 
+@query(
+    "fallback_recommendations",
+    sql(
+        "matrix users",
+        """SELECT buyer_id, product_id, CAST(rank AS INTEGER) AS rank, false AS fallback FROM best UNION ALL
+        SELECT user_id, product_id, CAST(rank AS INTEGER), true FROM users, popular WHERE user_id NOT IN (SELECT buyer_id FROM best)""",
+        """best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY buyer_id ORDER BY units DESC, product_id) AS rank FROM matrix) WHERE rank <= 5),
+        popular AS (SELECT product_id, row_number() OVER (ORDER BY sum(units + orders) DESC, product_id) AS rank FROM matrix GROUP BY 1 QUALIFY rank <= 5)""",
+    ),
+)
+def fallback_recommendations(c):
+    """Each buyer's five products with the most units, and the popular five for buyers without any."""
+    triples = FE.user_item_matrix(c.order_lines()).withColumn("weight", F.col("units") + F.col("orders"))
+    recs = top_per_group(triples.select("buyer_id", "product_id", "units"), ["buyer_id"], [F.col("units").desc(), F.col("product_id")], 5)
+    buyers = c.users().select(F.col("user_id").alias("buyer_id"))
+    return ML.with_fallback(buyers, recs, ML.popular_items(triples, "product_id", "weight", 5), "buyer_id", "product_id")
+
+
+@query(
+    "top_inner_products",
+    "SELECT id, rank, round(CAST(s AS DOUBLE) + 1e-9, 3) + 0.0 AS score FROM (SELECT q.vec_id AS id, list_inner_product(q.embedding, v.embedding) AS s, "
+    "row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.embedding, v.embedding) DESC) AS rank "
+    "FROM embeddings v, embeddings q WHERE q.vec_id % 100 = 0) WHERE rank <= 10",
+    ints="rank",
+)
+def top_inner_products(c):
+    """The ten largest inner products of every hundredth vector with all vectors, by the search behind the recommendations."""
+    vectors = c.table("embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("x"))
+    lists = top_by_product(vectors.where("id % 100 = 0").withColumn("k", F.lit(10)), vectors)
+    rows = lists.select("id", F.posexplode("scores").alias("rank", "score"))
+    return rounded(rows.withColumn("rank", F.col("rank") + 1), score=3)
+
+
 @query(
     "recs_with_attributes",
     sql(
