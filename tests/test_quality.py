@@ -133,3 +133,13 @@ def test_optional_and_named_tables(spark):
     day = read_bronze(spark, f"{root}/gold/t", "2024-01-01")
     assert "event_date" in day.columns and day.count() == 2
     assert "PartitionFilters: [isnotnull(event_date" in day._jdf.queryExecution().executedPlan().toString()
+
+
+def test_landed_columns_named_like_ours_are_kept(spark):
+    root, out = work_dir(spark, "landing"), work_dir(spark, "bronze")
+    rows = spark.createDataFrame([("1999-01-01", "kept?", "x")], "event_date string, checked string, other string")
+    rows.coalesce(1).write.option("header", True).csv(f"{root}/campaigns")
+    assert L.land_csv(spark, root, out, "campaigns", "2024-05-05") == 1
+    row = spark.read.parquet(f"{out}/campaigns").first()
+    assert (row["data_event_date"], row["data_checked"], row["other"]) == ("1999-01-01", "kept?", "x")
+    assert (str(row["event_date"]), row["checked"]) == ("2024-05-05", False)

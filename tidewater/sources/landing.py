@@ -74,15 +74,16 @@ def landed_headers(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_landing_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_landing_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, headers: DataFrame | None = None) -> DataFrame:
     """All CSV files of a folder, columns matched by each file's own header.
 
     Without a schema every column of every header is kept, as text. Headers are
     read by one distributed job. What reaches the driver is one short row per
-    file; files that share a header are read together.
+    file; files that share a header are read together. ``headers`` are those of
+    ``landed_headers`` where the caller has them.
     """
     by_header: dict[str, list[str]] = {}
-    for row in landed_headers(spark, path).collect():
+    for row in (landed_headers(spark, path) if headers is None else headers).collect():
         by_header.setdefault(row["header"], []).append(unquote(row["file"]))  # the column is a URI
     frames = []
     for header, files in sorted(by_header.items()):
@@ -118,17 +119,22 @@ def land_csv(spark: SparkSession, landing: str, bronze: str, file_type: str, dat
     folder = f"{landing}/{file_type}"
     if not table_exists(spark, folder):
         return 0
-    files = landed_headers(spark, folder).select(F.col("file").alias(FILE))
     modelled = file_type in CSV_MODELS
-    rows = read_landing_csv(spark, folder, CSV_MODELS[file_type][0] if modelled else None)
-    if modelled:
-        rejected = file_verdicts(rows, file_type).where("not accepted").select(FILE)
-        files, rows = (df.join(rejected, FILE, "left_anti") for df in (files, rows))
-    rows = rows.withColumnsRenamed({c: f"data_{c}" for c in rows.columns if c.lower() in ("checked", "event_date")})
-    day = rows.withColumns({"checked": F.lit(modelled), "event_date": F.lit(date).cast("date")})
-    if len(day.columns) > 3:  # else not one file has a column
-        overwrite_partitions(day, f"{bronze}/{file_type}", ["event_date", FILE])
-    return files.count()
+    headers = landed_headers(spark, folder).persist()
+    rows = read_landing_csv(spark, folder, CSV_MODELS[file_type][0] if modelled else None, headers).persist()  # for verdicts and the write
+    try:
+        files, accepted = headers.select(F.col("file").alias(FILE)), rows
+        if modelled:
+            rejected = file_verdicts(rows, file_type).where("not accepted").select(FILE)
+            files, accepted = (df.join(rejected, FILE, "left_anti") for df in (files, rows))
+        accepted = accepted.withColumnsRenamed({c: f"data_{c}" for c in accepted.columns if c.lower() in ("checked", "event_date")})
+        day = accepted.withColumns({"checked": F.lit(modelled), "event_date": F.lit(date).cast("date")})
+        if len(day.columns) > 3:  # else not one file has a column
+            overwrite_partitions(day, f"{bronze}/{file_type}", ["event_date", FILE])
+        return files.count()
+    finally:
+        rows.unpersist()
+        headers.unpersist()
 
 
 RATES = T.StructType(
