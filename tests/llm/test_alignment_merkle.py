@@ -123,7 +123,7 @@ def test_pieces_encode_as_the_whole_text():
 
 
 def test_a_very_long_text(spark):
-    text = ("lorem ipsum dolor sit amet, consectetur\n" * 60_000) + "y" * 20_000
+    text = ("lorem ipsum dolor sit amet, consectetur\n" * 40_000) + "y" * 20_000
     got = alignment.align(spark.createDataFrame([(1, text)], "doc_id long, text string"), A.read_text(), B.read_bytes()).first()
     a, b = plain_pair()
     assert (got.n_a, got.n_b) == (len(a.encode(" " + text, add_special_tokens=False).ids), len(b.encode(text)))
@@ -165,7 +165,7 @@ def plain_manifest(rows, fanout):
     return [(r, plain_leaf(r), top, root, [*p, *up]) for (own, top, proofs), up in zip(out, above, strict=True) for r, p in zip(own, proofs, strict=True)]
 
 
-@pytest.mark.parametrize("fanout, nodes", [(2, 256), (2, 2), (2, 4), (3, 3), (5, 256)])
+@pytest.mark.parametrize("fanout, nodes", [(2, 256), (2, 4), (3, 3)])
 def test_manifest_equals_brute_force(docs, empty, monkeypatch, fanout, nodes):
     monkeypatch.setattr(merkle, "BLOCK_NODES", nodes)
     got = merkle.manifest(docs, fanout=fanout).withColumn("folded", merkle.fold(F.col("leaf"), F.col("proof"))).collect()
