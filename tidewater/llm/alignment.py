@@ -35,7 +35,7 @@ from tidewater.session import work_dir
 BLOCK_BYTES = 8 << 20
 #: Pieces encoded as one text, and such texts handed to an encoder at a time.
 ROW = 64
-CHUNK = 500
+CHUNK = 300
 _CUT = re.compile(r"(?<! ) (?=\w)")
 _UNUSUAL = re.compile(r" (?!\w)")
 _B_BITS = 20  # a pair is (A id << 20) | B id
@@ -195,7 +195,16 @@ def _encode(keys: list[str], pair: Pair) -> tuple[np.ndarray, np.ndarray, np.nda
 
 
 def align_pieces(keys: list[str], pair: Pair) -> Aligned:
-    """Tokens, groups and links of every piece. A piece whose tokens do not give its bytes back is not good and empty."""
+    """Tokens, groups and links of every piece. A piece whose tokens do not give its bytes back is not good and empty.
+
+    Pieces do not depend on each other, so they are done a slice at a time: only results stay in memory.
+    """
+    parts = [_align_slice(keys[x : x + ROW * CHUNK], pair) for x in range(0, max(len(keys), 1), ROW * CHUNK)]
+    arrays = [np.concatenate([getattr(p, name) for p in parts]) for name in ("good", "n_a", "n_b", "n_links", "a", "b", "irregular")]
+    return Aligned(*arrays, list(itertools.chain.from_iterable(p.text for p in parts)))
+
+
+def _align_slice(keys: list[str], pair: Pair) -> Aligned:
     a, n_a, b, n_b, good = _encode(keys, pair)
     end_a, end_b = np.cumsum(pair.size_a[a]), np.cumsum(pair.size_b[b])
     # Good pieces have as many bytes on either side, so both cumulated ends run in step.
@@ -218,7 +227,7 @@ def align_pieces(keys: list[str], pair: Pair) -> Aligned:
     written = table[codes].tobytes().replace(b"\0", b"")
     ends = np.cumsum(_sums(lengths[codes], n_a + n_b)).tolist()
     text = [written[x:y] for x, y in zip([0, *ends], ends, strict=False)]
-    return Aligned(good, n_a, n_b, n_links, last_a, last_b, irregular, text)
+    return Aligned(good, n_a, n_b, n_links, last_a.astype(np.int32), last_b.astype(np.int32), irregular, text)
 
 
 def _packed(columns: dict[str, pa.Array]) -> bytes:
@@ -242,7 +251,7 @@ def _block(ids: list, docs: list[str], pair: Pair, vector: np.ndarray) -> tuple[
     times = np.repeat(np.bincount(order, minlength=len(p.good)), p.n_links)
     regular = ~p.irregular
     vector += np.bincount(p.a[regular], times[regular], minlength=len(vector)).astype(np.int64)
-    code = (p.a << _B_BITS) | p.b
+    code = (p.a.astype(np.int64) << _B_BITS) | p.b
     used = p.irregular & (times > 0)
     pairs, place = np.unique(code[used], return_inverse=True)
     pair_n = np.bincount(place, times[used], minlength=len(pairs)).astype(np.int64)
