@@ -1,9 +1,11 @@
 import json
 
+import pytest
 from conftest import ts
 from pyspark.sql import functions as F
 
 from tidewater.operators.cdc import parse_envelope
+from tidewater.operators.keyed import read_history
 from tidewater.operators.versions import read_table
 from tidewater.plans.schemas import CLICK
 from tidewater.session import work_dir
@@ -51,8 +53,6 @@ def test_domain_and_typed_topics(spark):
 
 
 def test_failure_of_one_stream_is_raised(spark):
-    import pytest
-
     read, _ = recorded(spark, [json.dumps({"event_id": "1"})])
     bad = read("t").select(F.raise_error(F.lit("boom")).cast("string").alias("x"), F.to_date("timestamp").alias("event_date"))
     stream = B.write_bronze_stream(bad, work_dir(spark, "bad"), work_dir(spark, "marks"))
@@ -80,6 +80,42 @@ def test_dedup_and_merge(spark):
     assert got.keys() == latest.keys() and all(r[0] == max(a for k, a, _ in rows if k == key) for key, r in latest.items())
 
 
+def test_scd2_stream_applies_a_batch_once_across_crashes(spark, monkeypatch):
+    """The first run ends after a batch was published and before the stream knows; the second starts with that batch again."""
+    source, path, marks = work_dir(spark, "changes"), work_dir(spark, "history"), work_dir(spark, "marks")
+    rows = [("a", "A", "2024-01-05"), ("a", "B", "2024-01-03"), ("b", "X", "2024-01-01"), ("a", "A", "2024-01-01"), ("b", "Y", "2024-01-02"), ("a", "C", "2024-01-04")]
+    changes = spark.createDataFrame([(k, v, ts(t)) for k, v, t in rows], "k string, v string, at timestamp")
+    for i in range(3):
+        part = spark.createDataFrame([(k, v, ts(t)) for k, v, t in rows[2 * i : 2 * i + 2]], changes.schema)
+        part.coalesce(1).write.mode("append").parquet(source)
+    original, applied = ST.apply_changes, []
+
+    def crashing(*args, **options):
+        applied.append(original(*args, **options))
+        if len(applied) == 2:
+            raise RuntimeError("crash after the switch")
+
+    monkeypatch.setattr(ST, "apply_changes", crashing)
+    for run in range(2):
+        stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        query = ST.stream_scd2(stream, path, marks, "k", ["v"], "at", buckets=2)
+        if run == 0:
+            with pytest.raises(Exception, match="crash after the switch"):
+                query.awaitTermination()
+        else:
+            query.awaitTermination()
+    assert applied == [True, True, False, True]
+    got = sorted((r.k, str(r.valid_from)[:10], r.v, r.is_current) for r in read_history(spark, path).collect())
+    assert got == [
+        ("a", "2024-01-01", "A", False),
+        ("a", "2024-01-03", "B", False),
+        ("a", "2024-01-04", "C", False),
+        ("a", "2024-01-05", "A", True),
+        ("b", "2024-01-01", "X", False),
+        ("b", "2024-01-02", "Y", True),
+    ]
+
+
 def test_monitoring_and_sessions_match_batch_for_closed_windows(spark):
     path = work_dir(spark, "events")
     rows = [("u", ts(f"2024-01-01 0{h}:{m:02d}:00")) for h, m in ((0, 0), (0, 10), (0, 10), (1, 0), (5, 0))]

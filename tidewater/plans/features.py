@@ -66,7 +66,7 @@ def user_features(lines: DataFrame, paid: DataFrame, users: DataFrame, as_of: Co
         .withColumn("tenure_days", fractional_days("first_order_at", as_of))
     )
     weekly = guarded_ratio("orders_total", F.col("tenure_days") / 7.0, F.col("orders_total").cast("double"))
-    defaults = {
+    defaults = {  # Fixed values: what buyers without payments or orders get
         "payments_total": 0,
         "payment_fail_rate": 0.0,
         "avg_payment_amount": 0.0,
@@ -78,6 +78,7 @@ def user_features(lines: DataFrame, paid: DataFrame, users: DataFrame, as_of: Co
     return out.withColumn("frequency_per_week", weekly).fillna(defaults)
 
 
+# Feature columns of the churn data set.
 CHURN_FEATURES = (
     "recency_days",
     "frequency_per_week",
