@@ -312,7 +312,6 @@ def _score(vector: np.ndarray, regular_best: np.ndarray) -> Callable[[pa.Table,
     def score(blocks: pa.Table, found: pa.Table) -> pa.Table:
         out = []
         for packed in blocks["packed"]:
-            x = {n: v[0] for n, v in pa.ipc.open_stream(packed.as_buffer()).read_all().to_pydict().items() if n in ("id", "text")}
             row = pa.ipc.open_stream(packed.as_buffer()).read_all()
             arrays = {n: row[n].combine_chunks().flatten().to_numpy() for n in ("size", "order", "n_a", "n_b", "n_links", "link")}
             at = found["pos"].to_numpy()
@@ -324,10 +323,10 @@ def _score(vector: np.ndarray, regular_best: np.ndarray) -> Callable[[pa.Table,
             per_link_best = np.where(link < 0, best[np.minimum(odd, len(at))], regular_best[a])
             links = arrays["n_links"].astype(np.int64)
             piece = {"n_a": arrays["n_a"], "n_b": arrays["n_b"], "n_groups": links, "n_links": links, "n_best": _sums(per_link_best, links), "count_sum": _sums(per_link_n, links)}
-            columns = {"id": pa.array(x["id"], pa.int64())} | {c: pa.array(_sums(v.astype(np.int64)[order], sizes)) for c, v in piece.items()}
-            text, ends = x["text"], np.cumsum(sizes).tolist()
+            columns = {"id": row["id"].combine_chunks().flatten()} | {c: pa.array(_sums(v.astype(np.int64)[order], sizes)) for c, v in piece.items()}
+            text, ends = row["text"].combine_chunks().flatten().to_pylist(), np.cumsum(sizes).tolist()
             groups = [b"".join(map(text.__getitem__, order[s:e].tolist()))[:-1] for s, e in zip([0, *ends], ends, strict=False)]
-            out.append(pa.table(columns | {"groups": pa.array(groups, pa.binary()).cast(pa.string())}))
+            out.append(pa.table(columns | {"groups": pa.array(groups, pa.string())}))
         release()
         return pa.concat_tables(out) if out else pa.table({n: pa.array([], t) for n, t in _RESULT_TYPES.items()})
 
