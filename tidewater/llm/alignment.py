@@ -32,7 +32,7 @@ from tidewater.llm.common import release, texts
 from tidewater.session import work_dir
 
 #: Text whose distinct pieces are encoded together.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Pieces encoded as one text, and such texts handed to an encoder at a time.
 ROW = 64
 CHUNK = 300
@@ -302,6 +302,7 @@ def _lay(a_json: str, b_model: bytes, block_bytes: int) -> Callable[[Iterator[pa
                     size = 0
         if ids:
             yield flush()
+        release()  # the worker stays for later stages
         some = np.nonzero(vector)[0]
         yield _row(None, None, [], [], some.tolist(), vector[some].tolist())
 
@@ -310,6 +311,7 @@ def _lay(a_json: str, b_model: bytes, block_bytes: int) -> Callable[[Iterator[pa
 
 def _score(vector: np.ndarray, regular_best: np.ndarray) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def score(blocks: pa.Table, found: pa.Table) -> pa.Table:
+        release()
         out = []
         for packed in blocks["packed"]:
             row = pa.ipc.open_stream(packed.as_buffer()).read_all()
