@@ -143,3 +143,12 @@ def test_landed_columns_named_like_ours_are_kept(spark):
     row = spark.read.parquet(f"{out}/campaigns").first()
     assert (row["data_event_date"], row["data_checked"], row["other"]) == ("1999-01-01", "kept?", "x")
     assert (str(row["event_date"]), row["checked"]) == ("2024-05-05", False)
+
+
+def test_a_day_without_accepted_files_has_no_rows(spark, tmp_path):
+    from tidewater.queries import queries
+
+    part = spark.createDataFrame([(7, "Brand#1", "a", 1.0, 20), (507, "Brand#2", "b", 2.0, 5)], "p_partkey long, p_brand string, p_name string, p_retailprice double, p_size int")
+    part.write.parquet(f"{tmp_path}/part.parquet")
+    assert queries()["landed_files"](spark, str(tmp_path)).collect() == []
+    assert L.read_landed(spark, str(tmp_path), "catalog", "2024-01-01").count() == 0

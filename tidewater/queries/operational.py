@@ -207,7 +207,7 @@ def landed_files(c):
     )
     rows.repartition("brand").write.partitionBy("brand").option("header", True).csv(f"{landing}/catalog")
     accepted = L.land_csv(c.spark, landing, bronze, "catalog", "2024-01-05")
-    day = BR.read_bronze(c.spark, f"{bronze}/catalog", "2024-01-05")
+    day = L.read_landed(c.spark, bronze, "catalog", "2024-01-05")
     return day.groupBy(F.col("category").alias("brand"), "checked", "event_date").agg(F.count(F.lit(1)).alias("rows")).withColumn("accepted_files", F.lit(accepted).cast("long"))
 
 

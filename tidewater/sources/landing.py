@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tidewater.operators.merge import overwrite_partitions, table_exists
 from tidewater.operators.quality import Rule, between, not_null, tag_failures
+from tidewater.sources.bronze import read_bronze
 
 # Models of the landed CSV types. Every column is required.
 CATALOG = T.StructType(
@@ -137,6 +138,14 @@ def land_csv(spark: SparkSession, landing: str, bronze: str, file_type: str, dat
         headers.unpersist()
 
 
+def read_landed(spark: SparkSession, bronze: str, file_type: str, date: str) -> DataFrame:
+    """One landed day of a type with a model; no rows where no file has been accepted yet."""
+    ours = [T.StructField("checked", T.BooleanType()), T.StructField("event_date", T.DateType()), T.StructField(FILE, T.StringType())]
+    schema = T.StructType([*CSV_MODELS[file_type][0].fields, *ours])
+    folder = f"{bronze}/{file_type}"
+    return read_bronze(spark, folder, date, schema) if table_exists(spark, folder) else spark.createDataFrame([], schema)
+
+
 RATES = T.StructType(
     [
         T.StructField("result", T.StringType()),
