@@ -126,3 +126,17 @@ def test_recommendations_for_wide_and_text_keys(spark):
     assert {(r["u"], r["rank"]) for r in all_items} == {(u, k) for u, _, _ in pairs for k in (1, 2)}
     unseen = ML.recommend_by_key(triples, "u", "i", F.col("w"), 2, unseen=True, rank=4, iterations=5).collect()
     assert unseen and not {(r["u"], r["i"]) for r in unseen} & {(u, i) for u, i, _ in pairs}
+
+
+def test_boosting_groups_equal_rows(spark, monkeypatch):
+    fitted = []
+    monkeypatch.setattr(ML, "assemble", lambda df, features, plain=ML.assemble: fitted.append(df) or plain(df, features))
+    rows = spark.range(4000).selectExpr("id", "cast(id % 7 as double) a", "if(id % 5 = 0, null, id % 50) b", "id * 1.0 c", "cast(id % 7 > 4 as int) y")
+    _, out = ML.fit_boosted(rows, ["a", "b", "c"], "y", "id", trees=10, depth=2, subsample=1.0, test_share=0.2, positive_weight=3)
+    got = out.select("id", "y", "probability", "is_test").collect()
+    assert len(got) == 4000 and all((r.probability > 0.5) == bool(r.y) for r in got)
+    assert sum(r.is_test for r in got) == 800
+    grouped = next(df for df in fitted if "_w" in df.columns)
+    rows_of = grouped.agg(F.sum("_n"), F.count(F.lit(1)), F.sum("_w"), F.max("c"), F.count_distinct("b")).first()
+    positives = sum(r.y for r in got if not r.is_test)
+    assert (rows_of[0], rows_of[2], rows_of[4]) == (3200, 3200 + 2 * positives, ML.BINS) and rows_of[3] == ML.BINS - 1
