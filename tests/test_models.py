@@ -140,3 +140,19 @@ def test_boosting_groups_equal_rows(spark, monkeypatch):
     rows_of = grouped.agg(F.sum("_n"), F.count(F.lit(1)), F.sum("_w"), F.max("c"), F.count_distinct("b")).first()
     positives = sum(r.y for r in got if not r.is_test)
     assert (rows_of[0], rows_of[2], rows_of[4]) == (3200, 3200 + 2 * positives, ML.BINS) and rows_of[3] == ML.BINS - 1
+
+
+def test_tasks_of_order_lines_follow_their_number(spark, monkeypatch):
+    from tidewater.operators import joins
+    from tidewater.plans import features as FE
+    from tidewater.queries import queries
+    from tidewater.sources.commerce import Commerce
+
+    base = "/root/testdata/sf0.001"
+    plain = queries()["rank_metrics"](spark, base).collect()
+    monkeypatch.setattr(joins, "ROWS_PER_TASK", 500)
+    c = Commerce(spark, base)
+    parts = c.line_parts()
+    assert parts == -(-c.table("lineitem").count() // 500) > 4
+    assert FE.user_item_matrix(c.order_lines(parts), parts).rdd.getNumPartitions() == parts
+    assert queries()["rank_metrics"](spark, base).collect() == plain

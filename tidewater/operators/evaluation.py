@@ -8,20 +8,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions import guarded_ratio
+from tidewater.operators.joins import in_parts
 from tidewater.operators.ranking import exact_percentile, with_ntile, with_running_totals
 from tidewater.session import pin
 
 
-def ranking_metrics(recommended: DataFrame, relevant: DataFrame, k: int) -> DataFrame:
+def ranking_metrics(recommended: DataFrame, relevant: DataFrame, k: int, parts: int | None = None) -> DataFrame:
     """Precision, recall, NDCG and MRR at k in one row.
 
     ``recommended`` is (user, item, rank from 1), ``relevant`` is (user, item).
     Users without relevant items count as zero in MRR and not at all elsewhere.
+    Pairs are met in ``parts`` tasks where given.
     """
     recs = recommended.where(F.col("rank") <= k).select("user", "item", "rank", F.lit(None).cast("int").alias("rel"))
     wanted = relevant.select("user", "item", F.lit(None).cast(recs.schema["rank"].dataType).alias("rank"), F.lit(1).alias("rel"))
     idle = recommended.select("user", F.lit(None).cast(recs.schema["item"].dataType).alias("item"), F.lit(None).cast(recs.schema["rank"].dataType).alias("rank"), F.lit(None).cast("int").alias("rel")).distinct()
-    pairs = recs.unionByName(wanted).unionByName(idle).groupBy("user", "item").agg(F.min("rank").alias("rank"), F.max("rel").alias("rel"))
+    pairs = in_parts(recs.unionByName(wanted).unionByName(idle), parts, "user", "item").groupBy("user", "item").agg(F.min("rank").alias("rank"), F.max("rel").alias("rel"))
     hit = F.col("rel").isNotNull() & F.col("rank").isNotNull()
     gain = F.lit(1.0) / F.log2(F.col("rank") + 1)
     users = pairs.groupBy("user").agg(

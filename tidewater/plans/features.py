@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import fractional_days, guarded_ratio, last_days, last_items
 from tidewater.operators.asof import Source, asof_join, asof_join_many, latest_features
-from tidewater.operators.joins import lookup
+from tidewater.operators.joins import in_parts, lookup
 from tidewater.operators.latest import require_columns
 from tidewater.operators.timecells import DAY, HOUR, with_prior_totals, with_trailing_count
 from tidewater.plans.marts import LIVE, sold
@@ -193,8 +193,8 @@ def category_demand_daily(lines: DataFrame, products: DataFrame) -> DataFrame:
     return grid.join(totals, ["category", "ds"], "left").fillna({"orders": 0, "gmv": 0.0, "units": 0.0})
 
 
-def user_item_matrix(lines: DataFrame) -> DataFrame:
-    return sold(lines, LIVE).groupBy("buyer_id", "product_id").agg(
+def user_item_matrix(lines: DataFrame, parts: int | None = None) -> DataFrame:
+    return in_parts(sold(lines, LIVE), parts, "buyer_id", "product_id").groupBy("buyer_id", "product_id").agg(
         F.sum("quantity").alias("units"), F.count(F.lit(1)).alias("orders"), F.sum("total_amount").alias("gmv")
     )
 

@@ -216,13 +216,14 @@ _CUT = "2000-01-01"
     ),
 )
 def rank_metrics(c):
-    lines = c.order_lines()
-    past = FE.user_item_matrix(lines.where(F.col("created_at") < F.lit(_CUT).cast("timestamp")))
+    parts = c.line_parts()
+    lines = c.order_lines(parts)
+    past = FE.user_item_matrix(lines.where(F.col("created_at") < F.lit(_CUT).cast("timestamp")), parts)
     best = top_per_group(past.select("buyer_id", "product_id", "units"), ["buyer_id"], [F.col("units").desc(), F.col("product_id")], 20)
     future = M.sold(lines, M.LIVE).where(F.col("created_at") >= F.lit(_CUT).cast("timestamp"))
     recs = best.select(F.col("buyer_id").alias("user"), F.col("product_id").alias("item"), "rank")
     relevant = future.select(F.col("buyer_id").alias("user"), F.col("product_id").alias("item"))
-    out = EV.ranking_metrics(recs, relevant, 20)
+    out = EV.ranking_metrics(recs, relevant, 20, parts)
     return rounded(out, precision_at_k=6, recall_at_k=6, ndcg_at_k=6, mrr_at_k=6)
 
 

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.operators.joins import in_parts, parts_for
+
 # Payment method per order priority.
 METHODS = {
     "1-URGENT": "credit_card",
@@ -57,8 +59,12 @@ class Commerce:
             (F.col("p_partkey") % 100).alias("seller_id"),
         )
 
-    def order_lines(self) -> DataFrame:
-        """Order grain with one product per row."""
+    def line_parts(self) -> int | None:
+        """Tasks for what has a row per order line; None where the shuffle setting gives as many."""
+        return parts_for(self.table("lineitem"))
+
+    def order_lines(self, parts: int | None = None) -> DataFrame:
+        """Order grain with one product per row, joined in ``parts`` tasks."""
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
         lines = self.table("lineitem").select(
             "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus"
@@ -70,6 +76,7 @@ class Commerce:
             .when(F.col("l_linestatus") == "O", "CREATED")
             .otherwise("SHIPPED")
         )
+        lines, orders = in_parts(lines, parts, "l_orderkey"), in_parts(orders, parts, "o_orderkey")
         return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
             F.col("o_orderkey").alias("order_id"),
             F.col("o_custkey").alias("buyer_id"),
