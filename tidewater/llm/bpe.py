@@ -17,6 +17,7 @@ import base64
 import heapq
 import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -139,20 +140,20 @@ def _encode_part(ranks: dict[bytes, int]) -> Callable[[pa.Table], pa.Table]:
 def _reassemble(pattern: str, parts: int, carried: list[str]) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(block: pa.Table, sent: pa.Table) -> pa.Table:
         docs, grow = unpack(block), zstandard.ZstdDecompressor().decompress
-        find, numbers, known, codes = regex.compile(pattern).findall, {}, {}, []
+        find, numbers, codes = regex.compile(pattern).findall, {}, []
 
         def number(text: str) -> tuple[int, ...]:
-            return tuple(numbers.setdefault(w, len(numbers)) for w in find(text))
+            return tuple([numbers.setdefault(w, len(numbers)) for w in find(text)])
 
+        class Known(dict):
+            def __missing__(self, piece: str) -> tuple[int, ...]:
+                found = self[piece] = number(" " + piece)
+                return found
+
+        known = Known()
         for t in docs["text"]:
             first, *rest = _pieces(t.as_py())
-            code = list(number(first))
-            for piece in rest:
-                found = known.get(piece)
-                if found is None:
-                    found = known[piece] = number(" " + piece)
-                code += found
-            codes.append(np.array(code, np.int32))
+            codes.append(np.fromiter(chain(number(first), chain.from_iterable(map(known.__getitem__, rest))), np.int32))
         del known
         order = {p: i for i, p in enumerate(sent["part"].to_pylist())}
         counts, starts, flat, base = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64), [], 0
