@@ -16,7 +16,8 @@ from __future__ import annotations
 import base64
 import heapq
 import re
-from collections.abc import Callable, Iterator
+from collections import defaultdict
+from collections.abc import Callable, Hashable, Iterable, Iterator
 from itertools import chain
 from zlib import crc32
 
@@ -85,13 +86,18 @@ def _pieces(text: str) -> list[str]:
     return SPLIT.split(text) if text.startswith(" ") or GAP.search(text) else text.split(" ")
 
 
-def _by_part(words: list[str], parts: int) -> list[tuple[list[bytes], list[int]]]:
-    """The words' bytes and numbers, dealt by hash and sorted: the same order whenever the block is read."""
-    dealt: list[list[tuple[bytes, int]]] = [[] for _ in range(parts)]
-    for n, w in enumerate(words):
+def _by_part(words: Iterable[str], parts: int) -> list[tuple[list[bytes], list[str]]]:
+    """The words' bytes and the words, dealt by hash and sorted: the same order whenever the block is read.
+
+    Plain strings are sorted, all at once, which takes a fraction of the time of pairs or bytes.
+    """
+    dealt: list[tuple[list[bytes], list[str]]] = [([], []) for _ in range(parts)]
+    for w in sorted(words):
         raw = w.encode("utf-8", "surrogatepass")
-        dealt[crc32(raw) % parts].append((raw, n))
-    return [([w for w, _ in some], [n for _, n in some]) for some in map(sorted, dealt)]
+        some, same = dealt[crc32(raw) % parts]
+        some.append(raw)
+        same.append(w)
+    return dealt
 
 
 def _block_words(pattern: str, parts: int) -> Callable[[pa.Table], pa.Table]:
@@ -101,11 +107,10 @@ def _block_words(pattern: str, parts: int) -> Callable[[pa.Table], pa.Table]:
             first, *rest = _pieces(t.as_py())
             seen.update(find(first))
             pieces.update(rest)
-        for piece in pieces:
-            seen.update(find(" " + piece))
+        seen.update(chain.from_iterable(map(find, map(" ".__add__, pieces))))
         shrink = zstandard.ZstdCompressor(level=3).compress
         number = block["block"][0].as_py()
-        dealt = [(i, some) for i, (some, _) in enumerate(_by_part(list(seen), parts)) if some]
+        dealt = [(i, some) for i, (some, _) in enumerate(_by_part(seen, parts)) if some]
         return pa.table({
             "part": pa.array([i for i, _ in dealt], pa.int32()),
             "block": pa.array([number] * len(dealt), pa.int32()),
@@ -137,41 +142,51 @@ def _encode_part(ranks: dict[bytes, int]) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
-def _reassemble(pattern: str, parts: int, carried: list[str]) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    def run(block: pa.Table, sent: pa.Table) -> pa.Table:
-        docs, grow = unpack(block), zstandard.ZstdDecompressor().decompress
-        find, numbers, codes = regex.compile(pattern).findall, {}, []
+def _numbered() -> defaultdict[Hashable, int]:
+    """A dictionary that numbers its keys in the order they are first asked for."""
+    found: defaultdict[Hashable, int] = defaultdict()
+    found.default_factory = found.__len__
+    return found
 
-        def number(text: str) -> tuple[int, ...]:
-            return tuple([numbers.setdefault(w, len(numbers)) for w in find(text)])
 
-        class Known(dict):
-            def __missing__(self, piece: str) -> tuple[int, ...]:
-                found = self[piece] = number(" " + piece)
-                return found
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its size, one after another."""
+    return np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
 
-        known = Known()
+
+def _reassemble(pattern: str, parts: int, carried: list[str]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    def run(block: pa.Table, sent: pa.Table) -> pa.Table:
+        docs, grow = unpack(block), zstandard.ZstdDecompressor().decompress
+        find, codes = regex.compile(pattern).findall, []
+        firsts, pieces, numbers = [], _numbered(), _numbered()
         for t in docs["text"]:
             first, *rest = _pieces(t.as_py())
-            codes.append(np.fromiter(chain(number(first), chain.from_iterable(map(known.__getitem__, rest))), np.int32))
-        del known
+            firsts.append(first)
+            codes.append(np.fromiter(map(pieces.__getitem__, rest), np.int32, len(rest)))
+        place = numbers.__getitem__
+        # The first pieces, which have lost no space, come after all others, one a text.
+        codes = [np.concatenate([np.array([len(pieces) + i], np.int32), code]) for i, code in enumerate(codes)]
+        found = [*map(find, map(" ".__add__, pieces)), *map(find, firsts)]
+        n_words = np.fromiter(map(len, found), np.int64, len(found))
+        word = np.fromiter(map(place, chain.from_iterable(found)), np.int64, n_words.sum())
+        del firsts, pieces, found
         order = {p: i for i, p in enumerate(sent["part"].to_pylist())}
         counts, starts, flat, base = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64), [], 0
-        for part, (_, where) in enumerate(_by_part(list(numbers), parts)):
-            if not where:
+        for part, (_, of_part) in enumerate(_by_part(numbers, parts)):
+            if not of_part:
                 continue
-            row = order[part]
+            row, where = order[part], list(map(place, of_part))
             c = np.frombuffer(grow(sent["counts"][row].as_py()), np.int32).astype(np.int64)
             counts[where], starts[where] = c, base + np.cumsum(c) - c
             flat.append(np.frombuffer(grow(sent["ids"][row].as_py()), np.int32))
             base += len(flat[-1])
         ids = np.concatenate(flat) if flat else np.empty(0, np.int32)
-        sizes, values = [], []
+        of_pieces = ids[_ranges(starts[word], counts[word])]
+        upto = np.concatenate([[0], np.cumsum(counts[word])])[np.concatenate([[0], np.cumsum(n_words)])]
+        starts, counts, sizes, values = upto[:-1], np.diff(upto), [], []
         for code in codes:
-            c = counts[code]
-            spot = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c) + np.repeat(starts[code], c)
-            values.append(ids[spot])
-            sizes.append(len(spot))
+            values.append(of_pieces[_ranges(starts[code], counts[code])])
+            sizes.append(len(values[-1]))
         offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
         lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(values) if values else ids))
         return pa.table({**{c: docs[c] for c in carried}, "ids": lists})
