@@ -18,8 +18,10 @@ ORACLE_SQL = None
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores 0.5 or more; it learns from the labels of those given."""
     model = quality.train(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
-    scored = quality.score_quality(docs, model, row=F.struct(*[docs[c] for c in docs.columns]))
-    return scored.where("predicted = 1").select("row.*")
+    rest = [docs[c] for c in docs.columns if c != "text"]
+    scored = quality.score_quality(docs, model, keep_text=True, row=F.struct(*rest, docs["text"].isNull().alias("_no_text")))  # a task gets the text once
+    text = F.when(~F.col("row._no_text"), F.col("text")).alias("text")
+    return scored.where("predicted = 1").select(*[text if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

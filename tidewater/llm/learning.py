@@ -11,12 +11,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm.common import release
+
 #: Words and runs of signs.
 TOKEN = re.compile(r"[^\W_]+|[^\w\s]+")
 #: Labelled rows that a model is fitted on, at most: those with the smallest hash of their id.
 SAMPLE = 20_000
 #: Words whose terms a task remembers.
-REMEMBER = 500_000
+REMEMBER = 200_000
 
 
 def _hash(term: str) -> int:
@@ -87,7 +89,7 @@ def term_rows(sample: DataFrame, make_terms: Callable[[], Terms]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = make_terms()
         for b in batches:
-            packed = [terms(t).astype(np.int32).tobytes() for t in b.column("text").to_pylist()]
+            packed = [terms(t.as_py()).astype(np.int32).tobytes() for t in b.column("text")]
             yield pa.RecordBatch.from_arrays([b.column("turn"), b.column("id"), b.column("label"), pa.array(packed, pa.binary())], ["turn", "id", "label", "terms"])
 
     return sample.select("turn", "id", "text", "label").mapInArrow(run, "turn long, id long, label int, terms binary")
@@ -118,15 +120,18 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def score_texts(texts: DataFrame, make_scorer: Callable[[], Callable[[str], float]], threshold: float) -> DataFrame:
-    """The rows of ``texts`` without the text, and score, predicted. ``make_scorer()`` gives text -> score, once per task."""
-    kept = [c for c in texts.columns if c != "text"]
+def score_texts(texts: DataFrame, make_scorer: Callable[[], Callable[[str], float]], threshold: float, keep_text: bool = False) -> DataFrame:
+    """The rows of ``texts``, without the text unless asked to keep it, and score, predicted. ``make_scorer()`` gives text -> score, once per task."""
+    kept = [c for c in texts.columns if keep_text or c != "text"]
     schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in texts.schema if f.name in kept), "score double", "predicted int"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()  # the worker may have served another stage
         scorer = make_scorer()
         for b in batches:
-            score = np.array([scorer(t) for t in b.column("text").to_pylist()], np.float64)
+            score = np.fromiter((scorer(t.as_py()) for t in b.column("text")), np.float64, b.num_rows)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(score), pa.array((score >= threshold).astype(np.int32))], [*kept, "score", "predicted"])
+        del scorer
+        release()
 
     return texts.mapInArrow(run, schema)

@@ -113,6 +113,6 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int
     return SupportVectors(np.frombuffer(bytes(got.weights), np.float32), np.frombuffer(bytes(got.squares), np.float32), got.bias, got.slope, got.shift)
 
 
-def score_quality(docs: DataFrame, model: SupportVectors, threshold: float = THRESHOLD, **more) -> DataFrame:
-    """(id, score, predicted, ...) for every row of ``docs``, over its whole text; a null text is empty and gets the score of no terms."""
-    return score_texts(texts(docs, **more), model.scorer, threshold)
+def score_quality(docs: DataFrame, model: SupportVectors, threshold: float = THRESHOLD, keep_text: bool = False, **more) -> DataFrame:
+    """(id, score, predicted, ...), and if asked the text, for every row of ``docs``, over its whole text; a null text is empty and gets the score of no terms."""
+    return score_texts(texts(docs, **more), model.scorer, threshold, keep_text)
