@@ -311,6 +311,8 @@ def _lay(a_json: str, b_model: bytes, block_bytes: int) -> Callable[[Iterator[pa
 
 def _score(vector: np.ndarray, regular_best: np.ndarray) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def score(blocks: pa.Table, found: pa.Table) -> pa.Table:
+        load_pair.cache_clear()  # scoring needs no encoder, and the worker may have aligned before
+        _words.cache_clear()
         release()
         out = []
         for packed in blocks["packed"]:
