@@ -43,9 +43,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the digest of what they decode to."""
     ranks = bpe.load_ranks(public_tokenizers.path(VOCABULARY))
-    coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, lang=docs["lang"], source=docs["source"])
-    decoded = bpe.decode(coded, ranks)
-    return decoded.select(F.col("id").alias("doc_id"), "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("text_sha256"))
+    coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True, lang=docs["lang"], source=docs["source"])
+    return coded.select(F.col("id").alias("doc_id"), "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("text_sha256"))
 
 
 STAGES = [

@@ -1,3 +1,6 @@
+import gc
+import weakref
+
 import public_tokenizers
 import tiktoken
 
@@ -17,3 +20,31 @@ def test_first_pieces_are_not_taken_for_those_after_a_space(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.id: r.ids for r in bpe.encode(docs, ranks, public_tokenizers.PATTERN, block_bytes=12).collect()}
     assert got == {i: library.encode_ordinary(t) for i, t in enumerate(texts)}
+
+
+def test_ids_are_decoded_where_they_are_made(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "DOCS", 2)
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    texts = ["one two", None, "", "é 日本 \n\n x", "a  b", "one two"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True)
+    plan = coded._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 2  # both sides of the join are packed, nothing runs after it
+    got = {r.id: (bytes(r.decoded), r.ids) for r in coded.collect()}
+    plain = {r.id: (bytes(r.decoded), r.ids) for r in bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks).collect()}
+    assert got == plain == {i: ((t or "").encode(), plain[i][1]) for i, t in enumerate(texts)}
+
+
+def test_numbers_of_words_are_freed_at_once():
+    class Key:
+        pass
+
+    numbers, key = bpe._numbered(), Key()
+    gone = weakref.ref(key)
+    assert [numbers[key], numbers["a"], numbers[key]] == [0, 1, 0]
+    gc.disable()
+    try:
+        del numbers, key
+        assert gone() is None
+    finally:
+        gc.enable()

@@ -18,7 +18,7 @@ import heapq
 import re
 from collections import defaultdict
 from collections.abc import Callable, Hashable, Iterable, Iterator
-from itertools import chain
+from itertools import chain, count
 from zlib import crc32
 
 import numpy as np
@@ -76,6 +76,8 @@ def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+#: Documents decoded at a time, which go back to Spark together.
+DOCS = 256
 #: A space splits the text if no blank is before it: the pattern takes it as the start of what follows, whatever comes before.
 GAP = re.compile(r"\s ")
 SPLIT = re.compile(r"(?<!\s) ")
@@ -143,10 +145,8 @@ def _encode_part(ranks: dict[bytes, int]) -> Callable[[pa.Table], pa.Table]:
 
 
 def _numbered() -> defaultdict[Hashable, int]:
-    """A dictionary that numbers its keys in the order they are first asked for."""
-    found: defaultdict[Hashable, int] = defaultdict()
-    found.default_factory = found.__len__
-    return found
+    """A dictionary that numbers its keys in the order they are first asked for; one bound to itself would wait for the collector."""
+    return defaultdict(count().__next__)
 
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -154,7 +154,7 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
 
 
-def _reassemble(pattern: str, parts: int, carried: list[str]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def _reassemble(pattern: str, parts: int, carried: list[str], tokens: pa.BinaryArray | None = None) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(block: pa.Table, sent: pa.Table) -> pa.Table:
         docs, grow = unpack(block), zstandard.ZstdDecompressor().decompress
         find, codes = regex.compile(pattern).findall, []
@@ -189,17 +189,23 @@ def _reassemble(pattern: str, parts: int, carried: list[str]) -> Callable[[pa.Ta
             sizes.append(len(values[-1]))
         offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
         lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(values) if values else ids))
-        return pa.table({**{c: docs[c] for c in carried}, "ids": lists})
+        out = {**{c: docs[c] for c in carried}, "ids": lists}
+        if tokens is not None:
+            del codes, of_pieces, word, values, ids, flat
+            out["decoded"] = pa.chunked_array([_decoded(tokens, lists.slice(i, DOCS)) for i in range(0, len(lists), DOCS)], pa.binary())
+        return pa.table(out)
 
     return run
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, **more: Column) -> DataFrame:
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, decoded: bool = False, **more: Column) -> DataFrame:
     """(id, ids, ...) for every row of ``docs``: the token ids of its whole text.
 
     Each match of ``pattern`` is encoded on its own, special tokens don't exist.
     A null or empty text has no ids. Rows with null or repeated ids are rows
-    like any other. An empty table gives no rows.
+    like any other. An empty table gives no rows. ``decoded`` adds the column
+    that ``decode`` would, in the task that has the ids, which saves a second
+    worker beside it.
 
     Blocks hold about ``block_bytes`` of text, and there is one part for three
     blocks, whatever the shuffle setting: their number follows the size of the
@@ -214,26 +220,38 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     coded = words.groupBy("part").applyInArrow(frugal(_encode_part(ranks)), "block int, part int, counts binary, ids binary")
     carried = [c for c in base.columns if c != "text"]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema if f.name != "text"), "ids array<int>"])
-    return placed.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(frugal(_reassemble(pattern, parts, carried)), schema)
+    if decoded:
+        schema += ", decoded binary"
+    whole = _reassemble(pattern, parts, carried, _token_table(ranks) if decoded else None)
+    return placed.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(frugal(whole), schema)
 
 
-def decode(coded: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids") -> DataFrame:
-    """``coded`` with a column ``decoded``, the bytes of its ids; null ids give no bytes. An id that isn't in the table fails."""
+def _token_table(ranks: dict[bytes, int]) -> pa.BinaryArray:
+    """The bytes of every id, null where there is no token."""
     table = np.full(max(ranks.values(), default=-1) + 1, None, dtype=object)
     for token, rank in ranks.items():
         table[rank] = token
-    tokens = pa.array(table, pa.binary())
+    return pa.array(table, pa.binary())
+
+
+def _decoded(tokens: pa.BinaryArray, lists: pa.ListArray) -> pa.BinaryArray:
+    """The bytes of each list of ids."""
+    raw = pc.take(tokens, lists.flatten())
+    if raw.null_count:
+        raise ValueError("an id without a token")
+    ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
+    places = np.frombuffer(raw.buffers()[1], np.int32)[raw.offset : raw.offset + len(raw) + 1] if len(raw) else np.zeros(1, np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(places[ends].astype(np.int32).tobytes()), raw.buffers()[2] if len(raw) else pa.py_buffer(b"")])
+
+
+def decode(coded: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids") -> DataFrame:
+    """``coded`` with a column ``decoded``, the bytes of its ids; null ids give no bytes. An id that isn't in the table fails."""
+    tokens = _token_table(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             lists = pc.fill_null(b.column(ids_col), pa.scalar([], pa.list_(pa.int32())))
-            raw = pc.take(tokens, lists.flatten())
-            if raw.null_count:
-                raise ValueError("an id without a token")
-            ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
-            places = np.frombuffer(raw.buffers()[1], np.int32)[raw.offset : raw.offset + len(raw) + 1] if len(raw) else np.zeros(1, np.int32)
-            joined = pa.Array.from_buffers(pa.binary(), b.num_rows, [None, pa.py_buffer(places[ends].astype(np.int32).tobytes()), raw.buffers()[2] if len(raw) else pa.py_buffer(b"")])
-            yield pa.RecordBatch.from_arrays([*b.columns, joined], [*b.schema.names, "decoded"])
+            yield pa.RecordBatch.from_arrays([*b.columns, _decoded(tokens, lists)], [*b.schema.names, "decoded"])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in coded.schema if f.name != "decoded"), "decoded binary"])
     return coded.drop("decoded").mapInArrow(run, schema)

@@ -65,8 +65,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.load_ranks(public_tokenizers.path(VOCABULARY))
-    coded = bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return bpe.decode(coded, ranks).select(
+    return bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, decoded=True).select(
         F.col("id").alias("doc_id"),
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
