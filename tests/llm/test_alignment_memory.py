@@ -1,3 +1,6 @@
+import gc
+import weakref
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -12,3 +15,27 @@ def test_scoring_lets_go_of_the_encoders():
     score = alignment._score(np.zeros(1, np.int64), np.zeros(1, np.int64))
     assert score(pa.table({"packed": pa.array([], pa.binary())}), pa.table({"pos": pa.array([], pa.int32())})).num_rows == 0
     assert alignment.load_pair.cache_info().currsize == 0
+
+
+def test_pieces_of_a_block_are_freed_at_once(monkeypatch):
+    seen = []
+    made = alignment.defaultdict
+    monkeypatch.setattr(alignment, "defaultdict", lambda *a: seen.append(weakref.ref(d := Numbers(*a))) or d)
+
+    class Numbers(made):
+        pass
+
+    pair = alignment.load_pair(*(Path(public_tokenizers.path(n)).read_text() if n.endswith("json") else Path(public_tokenizers.path(n)).read_bytes() for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")))
+    gc.disable()
+    try:
+        alignment._block([1], ["one two one"], pair, np.zeros(len(pair.bytes_a), np.int64))
+        assert seen and seen[0]() is None
+    finally:
+        gc.enable()
+
+
+def test_groups_go_back_in_chunks(monkeypatch):
+    monkeypatch.setattr(alignment, "DOCS", 2)
+    text = pa.array([b"1|2;", b"3,4|5;"], pa.binary())
+    got = alignment._spelled(text, np.array([0, 1, 1, 0], np.int32), np.array([2, 0, 1, 1]))
+    assert got.num_chunks == 2 and got.to_pylist() == ["1|2;3,4|5", "", "3,4|5", "1|2"]

@@ -14,7 +14,6 @@ equal ids or texts each give their own row, other columns are left behind.
 from __future__ import annotations
 
 import itertools
-import json
 import os
 import re
 from collections import defaultdict
@@ -24,6 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +36,8 @@ BLOCK_BYTES = 4 << 20
 #: Pieces encoded as one text, and such texts handed to an encoder at a time.
 ROW = 64
 CHUNK = 300
+#: Documents of a block whose groups are spelled at a time.
+DOCS = 128
 _CUT = re.compile(r"(?<! ) (?=\w)")
 _UNUSUAL = re.compile(r" (?!\w)")
 _B_BITS = 20  # a pair is (A id << 20) | B id
@@ -75,18 +77,17 @@ def load_pair(a_json: str, b_model: bytes) -> Pair:
     import sentencepiece
     import tokenizers
 
-    spec = json.loads(a_json)
-    pre = spec["pre_tokenizer"] or {}
-    if spec["normalizer"] or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True):
-        raise ValueError("A must be a byte-level BPE without normaliser and prefix space")
     a = tokenizers.Tokenizer.from_str(a_json)
+    pre = a.pre_tokenizer
+    if a.normalizer is not None or not isinstance(pre, tokenizers.pre_tokenizers.ByteLevel) or pre.add_prefix_space or not pre.use_regex:
+        raise ValueError("A must be a byte-level BPE without normaliser and prefix space")
     a.encode_special_tokens = True
     b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
     pieces = [b.id_to_piece(i) for i in range(b.vocab_size())]
     if any(re.search("[^▁]▁", p) for p in pieces) or b.normalize("x  ﬁ ") != "▁x▁▁ﬁ▁":
         raise ValueError("B must keep texts as they are and start its pieces at spaces")
     alphabet = _byte_alphabet()
-    plain = {t["id"] for t in spec["added_tokens"]}
+    plain = a.get_added_tokens_decoder()
     bytes_a = [b""] * a.get_vocab_size()
     for token, i in a.get_vocab().items():
         bytes_a[i] = token.encode() if i in plain else bytes(alphabet[c] for c in token)
@@ -133,7 +134,7 @@ class Aligned:
     a: np.ndarray
     b: np.ndarray
     irregular: np.ndarray
-    text: list[bytes]
+    text: pa.BinaryArray
 
 
 @lru_cache(maxsize=2)
@@ -201,7 +202,7 @@ def align_pieces(keys: list[str], pair: Pair) -> Aligned:
     """
     parts = [_align_slice(keys[x : x + ROW * CHUNK], pair) for x in range(0, max(len(keys), 1), ROW * CHUNK)]
     arrays = [np.concatenate([getattr(p, name) for p in parts]) for name in ("good", "n_a", "n_b", "n_links", "a", "b", "irregular")]
-    return Aligned(*arrays, list(itertools.chain.from_iterable(p.text for p in parts)))
+    return Aligned(*arrays, pa.concat_arrays([p.text for p in parts]))
 
 
 def _align_slice(keys: list[str], pair: Pair) -> Aligned:
@@ -225,8 +226,8 @@ def _align_slice(keys: list[str], pair: Pair) -> Aligned:
     codes[np.arange(len(a)) + np.repeat(cut_b + 1 - size_b, size_a)] = code_a
     codes[np.arange(len(b)) + np.repeat(cut + 1, size_b)] = code_b
     written = table[codes].tobytes().replace(b"\0", b"")
-    ends = np.cumsum(_sums(lengths[codes], n_a + n_b)).tolist()
-    text = [written[x:y] for x, y in zip([0, *ends], ends, strict=False)]
+    ends = np.concatenate([[0], np.cumsum(_sums(lengths[codes], n_a + n_b))]).astype(np.int32)
+    text = pa.Array.from_buffers(pa.binary(), len(keys), [None, pa.py_buffer(ends), pa.py_buffer(written)])
     return Aligned(good, n_a, n_b, n_links, last_a.astype(np.int32), last_b.astype(np.int32), irregular, text)
 
 
@@ -240,12 +241,12 @@ def _packed(columns: dict[str, pa.Array]) -> bytes:
 
 def _block(ids: list, docs: list[str], pair: Pair, vector: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
     """A block packed, its irregular pairs in order and their numbers; regular links are added to ``vector``."""
-    number: defaultdict[str, int] = defaultdict()
-    number.default_factory = number.__len__
+    number: defaultdict[str, int] = defaultdict(itertools.count().__next__)  # bound to itself, it would wait for the collector
     seen = [np.fromiter(map(number.__getitem__, pieces_of(t)), np.int32) if t else np.zeros(0, np.int32) for t in docs]
     sizes = np.array([len(s) for s in seen], np.int64)
     order = np.concatenate([*seen, np.zeros(0, np.int32)])
     p = align_pieces(list(number), pair)
+    del number, seen
     whole = (sizes > 0) & (_sums((~p.good[order]).astype(np.int64), sizes) == 0)
     order, sizes = order[np.repeat(whole, sizes)], np.where(whole, sizes, 0)
     times = np.repeat(np.bincount(order, minlength=len(p.good)), p.n_links)
@@ -267,7 +268,7 @@ def _block(ids: list, docs: list[str], pair: Pair, vector: np.ndarray) -> tuple[
             "n_b": pa.array(p.n_b.astype(np.int32)),
             "n_links": pa.array(p.n_links.astype(np.int32)),
             "link": pa.array(link),
-            "text": pa.array(p.text, pa.binary()),
+            "text": p.text,
         }
     )
     return packed, pairs, pair_n
@@ -281,6 +282,7 @@ def _row(block: int | None, packed: bytes | None, pairs: list, pair_n: list, ids
 def _lay(a_json: str, b_model: bytes, block_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = load_pair(a_json, b_model)
+        release()
         vector = np.zeros(len(pair.bytes_a), np.int64)
         task, number = TaskContext.get().partitionId(), itertools.count()
         ids, docs, size = [], [], 0
@@ -309,6 +311,16 @@ def _lay(a_json: str, b_model: bytes, block_bytes: int) -> Callable[[Iterator[pa
     return lay
 
 
+def _spelled(text: pa.BinaryArray, order: np.ndarray, sizes: np.ndarray) -> pa.ChunkedArray:
+    """The groups of each document from those of its pieces, ``DOCS`` to a chunk: a chunk is what goes back to Spark at a time."""
+    ends, chunks = np.concatenate([[0], np.cumsum(sizes)]), []
+    for x in range(0, len(sizes), DOCS):
+        of = ends[x : x + DOCS + 1]
+        lists = pa.ListArray.from_arrays(pa.array((of - of[0]).astype(np.int32)), text.take(pa.array(order[of[0] : of[-1]])))
+        chunks.append(pc.binary_slice(pc.binary_join(lists, b""), 0, -1).cast(pa.string()))
+    return pa.chunked_array(chunks, pa.string())
+
+
 def _score(vector: np.ndarray, regular_best: np.ndarray) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def score(blocks: pa.Table, found: pa.Table) -> pa.Table:
         load_pair.cache_clear()  # scoring needs no encoder, and the worker may have aligned before
@@ -328,9 +340,7 @@ def _score(vector: np.ndarray, regular_best: np.ndarray) -> Callable[[pa.Table,
             links = arrays["n_links"].astype(np.int64)
             piece = {"n_a": arrays["n_a"], "n_b": arrays["n_b"], "n_groups": links, "n_links": links, "n_best": _sums(per_link_best, links), "count_sum": _sums(per_link_n, links)}
             columns = {"id": row["id"].combine_chunks().flatten()} | {c: pa.array(_sums(v.astype(np.int64)[order], sizes)) for c, v in piece.items()}
-            text, ends = row["text"].combine_chunks().flatten().to_pylist(), np.cumsum(sizes).tolist()
-            groups = [b"".join(map(text.__getitem__, order[s:e].tolist()))[:-1] for s, e in zip([0, *ends], ends, strict=False)]
-            out.append(pa.table(columns | {"groups": pa.array(groups, pa.string())}))
+            out.append(pa.table(columns | {"groups": _spelled(row["text"].combine_chunks().flatten(), order, sizes)}))
         release()
         return pa.concat_tables(out) if out else pa.table({n: pa.array([], t) for n, t in _RESULT_TYPES.items()})
 
