@@ -50,12 +50,16 @@ class Tree:
 
     def places(self, bins: np.ndarray) -> np.ndarray:
         """The node that each row ends in; ``bins`` has a line per feature."""
-
-        def below(i: int) -> np.ndarray:
-            f = self.feature[i]
-            return np.int32(i) if f < 0 else np.where(bins[f] > int(self.cut[i]), below(2 * i + 2), below(2 * i + 1))
-
-        return np.broadcast_to(below(0), bins.shape[1])
+        at = np.zeros(bins.shape[1], np.uint8 if self.depth < 7 else np.int32)
+        for level in range(self.depth):
+            split, right = np.zeros(len(at), bool), np.zeros(len(at), bool)
+            for i in range(2**level - 1, 2 ** (level + 1) - 1):
+                if self.feature[i] >= 0:
+                    here = at == i
+                    split |= here
+                    right |= here & (bins[self.feature[i]] > int(self.cut[i]))
+            at = at + split * (at + right.astype(at.dtype) + at.dtype.type(1))
+        return at
 
 
 def _margin(trees: Sequence[Tree], bins: np.ndarray) -> np.ndarray:
@@ -127,9 +131,9 @@ def _sums(recent: Sequence[Tree], tree: Tree, number: int, level: int, n_feature
                 sign = np.where(positive == 1, 1.0, -1.0)
                 target = sign if number == 0 else 4 * sign / (1 + np.exp(2 * sign * margin))
                 w = _drawn(n, share, seed, number, block) * np.where(positive == 1, weight, 1.0)
-                node = tree.places(bins) - first
+                node = tree.places(bins).astype(np.int64) - first
                 w = np.where(node >= 0, w, 0.0)  # rows whose node was not split have none in this level
-                base, wt = np.maximum(node, 0).astype(np.int64) * WIDTH, w * target
+                base, wt = np.maximum(node, 0) * WIDTH, w * target
                 for f in range(n_features):
                     spot = base + bins[f]
                     total[0, f] += np.bincount(spot, w, nodes * WIDTH)
