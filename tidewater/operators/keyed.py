@@ -4,6 +4,8 @@ Rows lie in buckets, ranges of a key hash that are partition directories. The
 directory is the summary of the keys in its files: a merge opens the buckets of
 its keys and no other. Inside them, rows of other keys are copied in place by
 the task that reads them; only rows of updated keys meet the updates in a shuffle.
+A history that gets changes of more keys than can be sent to every task lays
+its buckets out whole instead: one shuffle in place of two joins.
 
 A history (SCD type 2) keeps three kinds of rows apart. ``open`` has the current
 version per key, ``closed`` the ended ones, ``echo`` the changes that changed
@@ -21,13 +23,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions import row_hash
 from tidewater.operators import versions
 from tidewater.operators.latest import latest_per_key, require_columns
-from tidewater.operators.timecells import DAY, with_runs
+from tidewater.operators.timecells import CELL_ROWS, DAY, with_runs
 
 BUCKET, SIDE, LAST = "_bucket", "_side", "_last_seen"
 OPEN, CLOSED, ECHO = "open", "closed", "echo"
@@ -100,11 +102,34 @@ def read_keyed(spark: SparkSession, path: str) -> DataFrame:
     return versions.read_table(spark, path).drop(BUCKET)
 
 
-def _layout(points: DataFrame, payload: Sequence[str], key: str, cell_seconds: int) -> DataFrame:
-    """Versions and echoes of complete sets of change points (key, valid_from, row_hash, payload), with their side."""
-    runs = with_runs(points, key, "valid_from", ["valid_from", "row_hash"], "row_hash", cell_seconds)
+def _sided(runs: DataFrame, payload: Sequence[str]) -> DataFrame:
     side = F.when(~F.col("_starts"), ECHO).when(F.col("_until").isNull(), OPEN).otherwise(CLOSED)
-    return runs.select(*payload, "valid_from", F.col("_until").alias("valid_to"), "row_hash", side.alias(SIDE))
+    return runs.withColumn(SIDE, side).select(*payload, "valid_from", F.col("_until").alias("valid_to"), "row_hash", LAST, SIDE)
+
+
+def _layout(points: DataFrame, payload: Sequence[str], key: str) -> DataFrame:
+    """Versions and echoes of complete sets of change points (key, valid_from, row_hash, payload, last seen), with their side: one shuffle by key.
+
+    Of several points of a key at one instant the greatest counts.
+    """
+    line = Window.partitionBy(key).orderBy("valid_from", "row_hash", *[c for c in payload if c != key])
+    back = Window.partitionBy(key).orderBy(F.col("valid_from").desc())
+    once = points.withColumn("_next", F.lead("valid_from").over(line)).where(F.col("_next").isNull() | (F.col("_next") != F.col("valid_from")))
+    marked = once.withColumn("_prev", F.lag("row_hash").over(line)).withColumn("_starts", F.col("_prev").isNull() | (F.col("_prev") != F.col("row_hash")))
+    ahead = F.last(F.when(F.col("_starts"), F.col("valid_from")), ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1))
+    last = F.max(F.greatest(LAST, "valid_from")).over(back.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    runs = marked.withColumns({"_until": ahead, LAST: last}).withColumn("_until", F.when(F.col("_starts"), F.col("_until")))
+    sided = _sided(runs, payload)
+    return sided.withColumn(LAST, F.when(F.col(SIDE) == OPEN, F.col(LAST)))
+
+
+def _layout_by_cells(points: DataFrame, payload: Sequence[str], key: str, cell_seconds: int) -> DataFrame:
+    """The same where a key has more points than one task should hold."""
+    last = points.groupBy(key).agg(F.max(F.greatest(LAST, "valid_from")).alias(LAST))
+    runs = with_runs(points.drop(LAST), key, "valid_from", ["valid_from", "row_hash"], "row_hash", cell_seconds)
+    laid = _sided(runs.withColumn(LAST, F.lit(None).cast("timestamp")), payload)
+    opened = laid.where(F.col(SIDE) == OPEN).drop(LAST).join(last, key)
+    return laid.where(F.col(SIDE) != OPEN).unionByName(opened)
 
 
 def apply_changes(
@@ -131,46 +156,46 @@ def apply_changes(
     if versions.seen(base, mark):
         return False
     n = _buckets_of(base) if base else buckets
-    payload = updates.columns
-    fresh = updates.withColumns({"valid_from": F.col(effective_ts).cast("timestamp"), "row_hash": row_hash(*tracked)})
-    fresh = fresh.where(F.col(key).isNotNull() & F.col("valid_from").isNotNull())
-    fresh = latest_per_key(fresh, [key, "valid_from"], ["row_hash"]).persist()
+    payload = [key, *[c for c in updates.columns if c != key]]
+    columns = [*payload, "valid_from", "row_hash", LAST]
+    fresh = updates.withColumns({"valid_from": F.col(effective_ts).cast("timestamp"), "row_hash": row_hash(*tracked), LAST: F.lit(None).cast("timestamp")})
+    fresh = fresh.where(F.col(key).isNotNull() & F.col("valid_from").isNotNull()).select(*columns).persist()
     held = [fresh]
     try:
-        last = fresh.groupBy(key).agg(F.max("valid_from").alias(LAST), F.min("valid_from").alias("_first"))
-        if base is None:
-            points, copied, late_buckets = fresh, [], set()
-        else:
-            last = last.persist()
-            held.append(last)
-            n_keys, touched = _extent(last, key, n)
+        first = fresh.groupBy(key).agg(F.min("valid_from").alias("_first"), F.count(F.lit(1)).alias("_n")).persist()
+        held.append(first)
+        n_keys, touched, most = first.agg(F.count(F.lit(1)), F.collect_set(bucket_of(key, n)), F.max("_n")).first()
+        points, copied, late_buckets = fresh, [], set()
+        if base is not None:
 
             def side(name: str, within: set) -> DataFrame:
                 return versions.read_table(spark, path, base, lambda unit: _in(unit, SIDE, {name}) and _in(unit, BUCKET, within))
 
-            opened, keys = side(OPEN, touched), _checked(last.select(key), n_keys)
-            mine = opened.join(keys, key, "left_semi").persist()
-            held.append(mine)
-            known = mine.select(key, F.col(LAST).alias("_known"))
-            late = last.join(known, key).where(F.col("_first") <= F.col("_known")).select(key).persist()
+            def meet(old: DataFrame, keys: DataFrame, few: bool) -> None:
+                """Rows of ``keys`` become points, others are copied; where the keys are many, every row becomes a point."""
+                nonlocal points
+                if few:
+                    copied.append(old.join(F.broadcast(keys), key, "left_anti"))
+                    old = old.join(F.broadcast(keys), key, "left_semi")
+                seen = F.col(LAST) if LAST in old.columns else F.lit(None).cast("timestamp").alias(LAST)
+                points = points.unionByName(old.select(*columns[:-1], seen))
+
+            opened = side(OPEN, set(touched))
+            meet(opened, first.select(key), n_keys <= BROADCAST_KEYS)
+            known = opened.select(key, F.col(LAST).alias("_known"))
+            late = known.join(_checked(first.select(key, "_first"), n_keys), key).where(F.col("_first") <= F.col("_known")).select(key).persist()
             held.append(late)
             n_late, late_buckets = _extent(late, key, n)
-            columns = [*payload, "valid_from", "row_hash"]
-            points = mine.select(*columns).unionByName(fresh.select(*columns))
-            copied = [opened.join(keys, key, "left_anti")]
-            if n_late:
-                names = _checked(late, n_late)
-                for name in (CLOSED, ECHO):
-                    old = side(name, late_buckets)
-                    points = points.unionByName(old.join(names, key, "left_semi").select(*columns))
-                    copied.append(old.join(names, key, "left_anti"))
-                points = latest_per_key(points, [key, "valid_from"], ["row_hash"])
-            last = last.select(key, LAST).unionByName(mine.select(key, LAST)).groupBy(key).agg(F.max(LAST).alias(LAST))
-        points = points.persist()
-        held.append(points)
-        laid = _layout(points, payload, key, cell_seconds).withColumn(BUCKET, bucket_of(key, n))
-        current = laid.where(F.col(SIDE) == OPEN).join(last.select(key, LAST), key)
-        rows = current.unionByName(laid.where(F.col(SIDE) != OPEN), allowMissingColumns=True).hint("rebalance", SIDE, BUCKET)
+            for name in (CLOSED, ECHO) if n_late else ():
+                meet(side(name, late_buckets), late, n_late <= BROADCAST_KEYS)
+            most = points.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] if n_late else (most or 0) + 1
+        if (most or 0) > CELL_ROWS:
+            points = latest_per_key(points, [key, "valid_from"], ["row_hash", LAST]).persist()
+            held.append(points)
+            laid = _layout_by_cells(points, payload, key, cell_seconds)
+        else:
+            laid = _layout(points, payload, key)
+        rows = laid.withColumn(BUCKET, bucket_of(key, n)).hint("rebalance", SIDE, BUCKET)
         for old in copied:
             rows = rows.unionByName(old, allowMissingColumns=True)
         again = {f"{SIDE}={name}/{BUCKET}={b}" for name in (CLOSED, ECHO) for b in late_buckets}

@@ -171,8 +171,8 @@ def stream_merge(c):
 def stream_scd2(c):
     """Customer status changes streamed in four batches that are no cut in time, so that most of them come late."""
     source, path = work_dir(c.spark, "changes"), work_dir(c.spark, "silver-history")
-    changes = status_changes(c)
-    changes.withColumn("part", F.pmod(F.xxhash64("user_id", "at"), F.lit(4))).repartition(4, "part").write.partitionBy("part").parquet(source)
-    stream = c.spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(source).select(*changes.columns)
+    changes, files = status_changes(c), c.spark.sparkContext.defaultParallelism  # files a batch, so that its tasks share it
+    changes.repartition(4 * files, F.xxhash64("user_id", "at")).write.parquet(source)
+    stream = c.spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", files).parquet(source)
     ST.stream_scd2(stream, path, work_dir(c.spark, "history-marks"), "user_id", ["status"], "at", buckets=8, cell_seconds=30 * 86400).awaitTermination()
     return read_history(c.spark, path).drop("at")
