@@ -14,6 +14,7 @@ from tidewater.operators.joins import in_parts, lookup
 from tidewater.operators.latest import require_columns
 from tidewater.operators.timecells import DAY, HOUR, with_prior_totals, with_trailing_count
 from tidewater.plans.marts import LIVE, sold
+from tidewater.session import pin
 
 
 def payments_joined(payments: DataFrame, orders: DataFrame) -> DataFrame:
@@ -325,15 +326,19 @@ class FeatureView:
 
 
 def historical_features(spine: DataFrame, spine_time: str, views: Sequence[tuple[FeatureView, DataFrame]]) -> DataFrame:
-    """Point-in-time values of several views (with their source tables): one pass over the spine per entity key."""
+    """Point-in-time values of several views (with their source tables): one pass over the spine per entity key.
+
+    The features are pinned: the join reads them twice, and they may be the end of long plans.
+    """
     out = spine
     for entity in dict.fromkeys(view.entity for view, _ in views):
         sources = []
         for view, source in views:
             if view.entity == entity:
                 view.check(source)
-                sources.append(Source(view.name, source, view.event_time, view.features, view.ttl_seconds))
-        out = asof_join_many(out, sources, entity, spine_time)
+                rows = pin(source.select(*dict.fromkeys([view.entity, view.event_time, *view.features])))
+                sources.append(Source(view.name, rows, view.event_time, view.features, view.ttl_seconds))
+        out = asof_join_many(out, sources, entity, spine_time, whole=True)
     return out
 
 

@@ -343,7 +343,7 @@ def historical_features(c):
     sources = [
         (FE.USER_CHURN_VIEW, CU.churn_features_doc(c).drop("label_date").withColumn("label_date", days)),
         (FE.USER_RFM_VIEW, CU.rfm_scores(c).withColumn("snapshot_date", days)),
-        (FE.SESSION_VIEW, fact_sessions(c.events())),
+        (FE.SESSION_VIEW, fact_sessions(c.events(), with_sequence=False)),
         (FE.PRODUCT_VIEW, products),
     ]
     spine = c.events().where("event_type = 'clicks'").select("event_id", "user_id", "product_id", "event_ts")
