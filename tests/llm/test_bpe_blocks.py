@@ -1,8 +1,12 @@
 import gc
+import random
 import weakref
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import tiktoken
+import zstandard
 
 from tidewater.llm import bpe
 
@@ -48,3 +52,30 @@ def test_numbers_of_words_are_freed_at_once():
         assert gone() is None
     finally:
         gc.enable()
+
+
+def test_short_and_long_words_are_merged_alike(monkeypatch):
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    rng = random.Random(5)
+    words = ["".join(rng.choices("aeinrst lmé\u4e16\u0434", k=rng.randrange(1, 40))).encode() for _ in range(400)] + [b"a" * n for n in range(1, 70)]
+    short = [bpe.encode_word(w, ranks) for w in words]
+    monkeypatch.setattr(bpe, "SHORT", 0)
+    assert short == [bpe.encode_word(w, ranks) for w in words]
+
+
+def test_a_part_gives_every_block_the_ids_of_its_words(monkeypatch):
+    ranks, coded = {bytes([b]): b for b in range(256)} | {b"ab": 256}, []
+    original = bpe.encode_word
+    monkeypatch.setattr(bpe, "encode_word", lambda word, known: coded.append(word) or original(word, known))
+    shrink, grow = zstandard.ZstdCompressor().compress, zstandard.ZstdDecompressor().decompress
+    blocks = [[b"ab", b"c"], [b"abc", b"ab", b"\xc3\xa9"]]
+    sent = pa.table({
+        "part": pa.array([0, 0], pa.int32()),
+        "block": pa.array([3, 5], pa.int32()),
+        "sizes": pa.array([shrink(np.array([len(w) for w in b], np.int32).tobytes()) for b in blocks], pa.binary()),
+        "words": pa.array([shrink(b"".join(b)) for b in blocks], pa.binary()),
+    })
+    out = bpe._encode_part(ranks)(sent)
+    read = lambda column: [np.frombuffer(grow(x.as_py()), np.int32).tolist() for x in out[column]]
+    assert read("counts") == [[1, 1], [2, 1, 2]] and read("ids") == [[256, 99], [256, 99, 256, 0xC3, 0xA9]]
+    assert sorted(coded) == [b"ab", b"abc", b"c", b"\xc3\xa9"]

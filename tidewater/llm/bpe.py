@@ -18,7 +18,7 @@ import heapq
 import re
 from collections import defaultdict
 from collections.abc import Callable, Hashable, Iterable, Iterator
-from itertools import chain, count
+from itertools import chain, count, pairwise
 from zlib import crc32
 
 import numpy as np
@@ -37,14 +37,35 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
+#: Bytes of a word up to which looking through all pairs is faster than keeping them in order.
+SHORT = 64
+NO_RANK = 1 << 62
+
+
+def _encode_short(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same as ``encode_word`` by a list of the pairs' ranks."""
+    get, cuts = ranks.get, list(range(len(word) + 1))
+    pairs = [get(word[i : i + 2], NO_RANK) for i in range(len(word) - 1)]
+    while pairs and (lowest := min(pairs)) != NO_RANK:
+        i = pairs.index(lowest)
+        del pairs[i], cuts[i + 1]
+        if i < len(pairs):
+            pairs[i] = get(word[cuts[i] : cuts[i + 2]], NO_RANK)
+        if i:
+            pairs[i - 1] = get(word[cuts[i - 1] : cuts[i + 1]], NO_RANK)
+    return [ranks[word[a:b]] for a, b in pairwise(cuts)]
+
+
 def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one pre-token: the adjacent pair of lowest rank is merged, the leftmost first, until none has a rank.
 
-    Pairs wait in a heap, so a long word takes n log n steps.
+    Pairs of a long word wait in a heap, so it takes n log n steps.
     """
     if word in ranks:
         return [ranks[word]]
     n = len(word)
+    if n <= SHORT:
+        return _encode_short(word, ranks)
     ends, before, after = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
     gone = bytearray(n)
     heap = [(ranks[word[i : i + 2]], i, i + 2) for i in range(n - 1) if word[i : i + 2] in ranks]
@@ -125,20 +146,21 @@ def _block_words(pattern: str, parts: int) -> Callable[[pa.Table], pa.Table]:
 
 def _encode_part(ranks: dict[bytes, int]) -> Callable[[pa.Table], pa.Table]:
     def run(sent: pa.Table) -> pa.Table:
-        known: dict[bytes, list[int]] = {}
-        counts, ids = [], []
         shrink, grow = zstandard.ZstdCompressor(level=3).compress, zstandard.ZstdDecompressor().decompress
-        for sizes, words in zip(sent["sizes"], sent["words"], strict=True):
-            raw, at, of_block = grow(words.as_py()), 0, []
-            for size in np.frombuffer(grow(sizes.as_py()), np.int32).tolist():
-                word = raw[at : at + size]
-                at += size
-                found = known.get(word)
-                if found is None:
-                    found = known[word] = encode_word(word, ranks)
-                of_block.append(found)
-            counts.append(shrink(np.array([len(f) for f in of_block], np.int32).tobytes()))
-            ids.append(shrink(np.array([i for f in of_block for i in f], np.int32).tobytes()))
+        sizes = [np.frombuffer(grow(s.as_py()), np.int32) for s in sent["sizes"]]
+        ends = np.cumsum(np.concatenate([np.zeros(1, np.int64), *sizes]))
+        raw = b"".join(grow(w.as_py()) for w in sent["words"])
+        words = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(raw)]).dictionary_encode()
+        # Distinct words are found by Arrow and encoded once; the blocks get theirs by position.
+        coded = [encode_word(w.as_py(), ranks) for w in words.dictionary]
+        n = np.fromiter(map(len, coded), np.int64, len(coded))
+        flat, starts, which = np.fromiter(chain.from_iterable(coded), np.int32, n.sum()), np.cumsum(n) - n, words.indices.to_numpy()
+        counts, ids, at = [], [], 0
+        for size in map(len, sizes):
+            some = which[at : at + size]
+            at += size
+            counts.append(shrink(n[some].astype(np.int32).tobytes()))
+            ids.append(shrink(flat[_ranges(starts[some], n[some])].tobytes()))
         return pa.table({"block": sent["block"], "part": sent["part"], "counts": pa.array(counts, pa.binary()), "ids": pa.array(ids, pa.binary())})
 
     return run
