@@ -39,3 +39,17 @@ def test_groups_go_back_in_chunks(monkeypatch):
     text = pa.array([b"1|2;", b"3,4|5;"], pa.binary())
     got = alignment._spelled(text, np.array([0, 1, 1, 0], np.int32), np.array([2, 0, 1, 1]))
     assert got.num_chunks == 2 and got.to_pylist() == ["1|2;3,4|5", "", "3,4|5", "1|2"]
+
+
+def test_a_block_is_laid_in_small_rows(spark):
+    """Rows of several parts give the figures of a block that fits one row."""
+    a, b = (Path(public_tokenizers.path(n)) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    rng = np.random.default_rng(7)
+    words = ["".join(w) for w in rng.choice(list("abcdefghijklmnopqrstuvwxyzßé"), (40_000, 9))]
+    docs = spark.createDataFrame([(i, " ".join(words[i * 2_000 : i * 2_000 + 4_000])) for i in range(20)], "doc_id long, text string").coalesce(1)
+    laid = docs.selectExpr("doc_id id", "text").mapInArrow(alignment._lay(a.read_text(), b.read_bytes(), 1 << 30), alignment._LAID)
+    widest = laid.selectExpr("max(length(packed)) a", "max(size(pairs)) b", "max(size(ids)) c", "sum(length(packed)) d", "sum(size(pairs)) e", "count(distinct block) f").first()
+    assert widest.a <= 128 << 10 < widest.d and max(widest.b, widest.c) <= 1 << 10 < widest.e and widest.f == 1
+    whole = alignment.align(docs, a.read_text(), b.read_bytes(), block_bytes=1 << 30).orderBy("id").collect()
+    cut = alignment.align(docs, a.read_text(), b.read_bytes(), block_bytes=1 << 10).orderBy("id").collect()
+    assert whole == cut and sum(r.n_links for r in whole) > 0

@@ -38,11 +38,17 @@ ROW = 64
 CHUNK = 300
 #: Documents of a block whose groups are spelled at a time.
 DOCS = 128
+#: Bytes of a packed block and numbers of its pairs that one row carries. Java takes a large row from the system
+#: in one piece, and sooner than it gives back what is no longer used.
+ROW_BYTES = 128 << 10
+ROW_NUMBERS = 1 << 10
+#: Rows that are read together are those of a row group.
+_GROUPS = {"parquet.block.size": 2 << 20, "parquet.page.size.row.check.min": 1, "parquet.block.size.row.check.min": 1, "parquet.enable.dictionary": "false"}
 _CUT = re.compile(r"(?<! ) (?=\w)")
 _UNUSUAL = re.compile(r" (?!\w)")
 _B_BITS = 20  # a pair is (A id << 20) | B id
 
-_LAID = "block long, packed binary, pairs array<long>, pair_n array<long>, ids array<int>, id_n array<long>"
+_LAID = "block long, part int, packed binary, pairs array<long>, pair_n array<long>, ids array<int>, id_n array<long>"
 RESULT = "id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
 
 
@@ -274,9 +280,15 @@ def _block(ids: list, docs: list[str], pair: Pair, vector: np.ndarray) -> tuple[
     return packed, pairs, pair_n
 
 
-def _row(block: int | None, packed: bytes | None, pairs: list, pair_n: list, ids: list, id_n: list) -> pa.RecordBatch:
-    types = [pa.int64(), pa.binary(), *[pa.list_(t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int64())]]
-    return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((block, packed, pairs, pair_n, ids, id_n), types, strict=True)], names=["block", "packed", "pairs", "pair_n", "ids", "id_n"])
+def _rows(block: int | None, packed: bytes, pairs: np.ndarray, pair_n: np.ndarray, ids: np.ndarray, id_n: np.ndarray) -> pa.RecordBatch:
+    """A block, or a vector, in as many rows as it takes at ROW_BYTES and ROW_NUMBERS a row."""
+    sizes = ((len(packed), ROW_BYTES), (len(pairs), ROW_NUMBERS), (len(ids), ROW_NUMBERS))
+    n = max(-(-size // most) for size, most in sizes)
+    columns = [pa.array([block] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array([packed[i : i + ROW_BYTES] or None for i in range(0, n * ROW_BYTES, ROW_BYTES)], pa.binary())]
+    ends = np.arange(n + 1) * ROW_NUMBERS
+    for numbers, kind in ((pairs, pa.int64()), (pair_n, pa.int64()), (ids, pa.int32()), (id_n, pa.int64())):
+        columns.append(pa.ListArray.from_arrays(pa.array(np.minimum(ends, len(numbers)), pa.int32()), pa.array(numbers, kind)))
+    return pa.RecordBatch.from_arrays(columns, names=["block", "part", "packed", "pairs", "pair_n", "ids", "id_n"])
 
 
 def _lay(a_json: str, b_model: bytes, block_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -284,7 +296,7 @@ def _lay(a_json: str, b_model: bytes, block_bytes: int) -> Callable[[Iterator[pa
         pair = load_pair(a_json, b_model)
         release()
         vector = np.zeros(len(pair.bytes_a), np.int64)
-        task, number = TaskContext.get().partitionId(), itertools.count()
+        task, number, none = TaskContext.get().partitionId(), itertools.count(), np.zeros(0, np.int64)
         ids, docs, size = [], [], 0
 
         def flush() -> pa.RecordBatch:
@@ -292,7 +304,7 @@ def _lay(a_json: str, b_model: bytes, block_bytes: int) -> Callable[[Iterator[pa
             ids.clear()
             docs.clear()
             release()
-            return _row((task << 32) | next(number), packed, pairs.tolist(), pair_n.tolist(), [], [])
+            return _rows((task << 32) | next(number), packed, pairs, pair_n, none, none)
 
         for batch in batches:
             for i, t in zip(batch.column("id").to_pylist(), batch.column("text"), strict=True):
@@ -306,7 +318,7 @@ def _lay(a_json: str, b_model: bytes, block_bytes: int) -> Callable[[Iterator[pa
             yield flush()
         release()  # the worker stays for later stages
         some = np.nonzero(vector)[0]
-        yield _row(None, None, [], [], some.tolist(), vector[some].tolist())
+        yield _rows(None, b"", none, none, some, vector[some])
 
     return lay
 
@@ -347,6 +359,17 @@ def _score(vector: np.ndarray, regular_best: np.ndarray) -> Callable[[pa.Table,
     return score
 
 
+def _by_block(score: Callable[[pa.Table, pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """``score`` for the rows of one block: parts of it, and the numbers of its pairs with their places as ``part``."""
+
+    def one(rows: pa.Table) -> pa.Table:
+        parts = rows.filter(pc.is_valid(rows["packed"])).sort_by("part")["packed"]
+        found = rows.filter(pc.is_null(rows["packed"])).select(["part", "n", "best"]).rename_columns(["pos", "n", "best"])
+        return score(pa.table({"packed": pa.array([b"".join(p.as_buffer() for p in parts)], pa.binary())}), found)
+
+    return one
+
+
 _RESULT_TYPES = {c.split()[0]: pa.string() if c.endswith("string") else pa.int64() for c in RESULT.split(", ")}
 
 
@@ -363,7 +386,7 @@ def align(docs: DataFrame, a_json: str, b_model: bytes, id_col: str = "doc_id",
     spark = docs.sparkSession
     pair = load_pair(a_json, b_model)
     path = work_dir(spark, "aligned")
-    texts(docs, id_col, text_col).mapInArrow(_lay(a_json, b_model, block_bytes), _LAID).write.parquet(path)
+    texts(docs, id_col, text_col).mapInArrow(_lay(a_json, b_model, block_bytes), _LAID).write.options(**_GROUPS).parquet(path)
     laid = spark.read.parquet(path)
 
     # Links through the identity map: one number per A id.
@@ -373,7 +396,8 @@ def align(docs: DataFrame, a_json: str, b_model: bytes, id_col: str = "doc_id",
         vector[r.ids] = r.n
 
     # The others: numbers per pair over all blocks, and the largest per B id.
-    once = laid.where("block is not null").select("block", F.posexplode(F.arrays_zip("pairs", "pair_n")).alias("pos", "x")).select("block", "pos", F.col("x.pairs").alias("pair"), F.col("x.pair_n").alias("here"))
+    once = laid.where("block is not null").select("block", "part", F.posexplode(F.arrays_zip("pairs", "pair_n")).alias("pos", "x"))
+    once = once.select("block", (F.col("part") * ROW_NUMBERS + F.col("pos")).alias("part"), F.col("x.pairs").alias("pair"), F.col("x.pair_n").alias("here"))
     counts = once.groupBy("pair").agg(F.sum("here").alias("n"))
     b_id = F.col("pair").bitwiseAND(F.lit((1 << _B_BITS) - 1))
     best = np.zeros(len(pair.bytes_b), np.int64)
@@ -386,6 +410,8 @@ def align(docs: DataFrame, a_json: str, b_model: bytes, id_col: str = "doc_id",
     # Every block gets the numbers of its own pairs back.
     highest = spark.createDataFrame([(i, int(n)) for i, n in enumerate(best)], "b int, highest long")
     found = once.drop("here").join(counts, "pair").withColumn("b", b_id.cast("int")).join(F.broadcast(highest), "b")
-    found = found.select("block", "pos", "n", (F.col("n") == F.col("highest")).cast("long").alias("best"))
-    whole = spark.read.parquet(path).where("block is not null").select("block", "packed")  # read anew: columns of its own
-    return whole.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(_score(vector, regular_best), RESULT)
+    found = found.select("block", "part", F.lit(None).cast("binary").alias("packed"), "n", (F.col("n") == F.col("highest")).cast("long").alias("best"))
+    none = F.lit(None).cast("long")
+    whole = spark.read.parquet(path).where("block is not null and packed is not null")  # read anew: columns of its own
+    rows = whole.select("block", "part", "packed", none.alias("n"), none.alias("best")).unionByName(found)
+    return rows.groupBy("block").applyInArrow(_by_block(_score(vector, regular_best)), RESULT)
